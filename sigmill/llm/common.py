@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bytes of text that the array kernels handle at once; one longer text is handled alone.
 CHUNK_BYTES = 1 << 20
@@ -49,9 +50,17 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2
 
 
-def bounded_sample(df: DataFrame, rows: int, by: Column) -> DataFrame:
-    """At most ``rows`` rows, those with the smallest ``by``: the same rows for any partitioning."""
-    return df.withColumn("_by", by).orderBy("_by").limit(rows).drop("_by")
+def bounded_sample(df: DataFrame, rows: int, *by: str) -> DataFrame:
+    """At most ``rows`` rows, those with the smallest hashes of the columns ``by``: the same rows for any partitioning.
+
+    A first cut by the hash's value leaves little more than ``rows`` in all, so that no task sends
+    many rows to the one that sorts.
+    """
+    n = df.count()
+    at = F.pmod(F.xxhash64(*by, F.lit(97)), F.lit(1 << 62))
+    if n > rows:
+        df = df.where(at < int(min(1.0, 1.25 * rows / n + 1e-9) * (1 << 62)))
+    return df.orderBy(at, *by).limit(rows)
 
 
 # --------------------------------------------------------------------------------------------
@@ -218,3 +227,8 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return edges.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "id").unionByName(
         edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     )
+
+
+def schema_with(df: DataFrame, **added: str) -> T.StructType:
+    """The schema of ``df`` with further columns."""
+    return T.StructType([*df.schema.fields, *(T.StructField(k, T._parse_datatype_string(v)) for k, v in added.items())])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, warc
+from . import language, license_scan, quality, toxicity, warc
 from .common import table
 
 
@@ -14,12 +14,24 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_id(table(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_digest(table(spark, sf_dir, "pages"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_license_scan, op10_warc)}
+    return {f.__name__: f for f in (op3_license_scan, op5_quality, op7_language, op8_toxicity, op10_warc)}
 
 
 # DuckDB: lower-case hex of SHA-1 to upper-case base32, five bits at a time.

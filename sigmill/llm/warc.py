@@ -158,7 +158,7 @@ def write_archive(pages: DataFrame, root: str, min_payload: int = 0, id_col: str
         "page_id", "url", F.col("payload").cast("binary").alias("payload"), "most",
         (~F.col("page_id").eqNullSafe(F.col("most")) & (F.octet_length("payload") >= min_payload)).alias("revisit"),
     )
-    sample = bounded_sample(rows.select("page_id", "url", F.substring("payload", 1, DICTIONARY_RECORD_BYTES).alias("payload")), DICTIONARY_RECORDS, F.xxhash64("page_id"))
+    sample = bounded_sample(rows.select("page_id", "url", F.substring("payload", 1, DICTIONARY_RECORD_BYTES).alias("payload")), DICTIONARY_RECORDS, "page_id")
     dictionary = build_dictionary([record_bytes(r.page_id, r.url, r.payload.encode(), None, False) for r in sample.collect()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
