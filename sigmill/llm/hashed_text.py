@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -93,6 +94,11 @@ def style_grams(points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 Grams = Callable[[np.ndarray], Iterator[tuple[np.ndarray, np.ndarray]]]
 
 
+def distinct_words(text: str | None) -> str:
+    """The distinct lower-case words of a text, in order: what is said over and over weighs no more than once."""
+    return " ".join(dict.fromkeys(re.findall(r"\w+", (text or "").lower())))
+
+
 def text_sums(texts: list[str | None], weights: np.ndarray, grams: Grams) -> tuple[np.ndarray, np.ndarray]:
     """For each text the sum of its features' weights (a row for each bucket) and the number of its features."""
     wide = weights.reshape(len(weights), -1)
@@ -137,10 +143,10 @@ class Sample:
         return self.ids[at], self.shares[at], row
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, use: Column, rows: int, buckets: int, grams: Grams) -> Sample:
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, use: Column, rows: int, buckets: int, grams: Grams, prior: float = 0.0, prepare: Callable | None = None) -> Sample:
     """At most ``rows`` labelled documents with ``use``, those with the smallest hashed ids, as hashed features.
 
-    Only the hashed features come to the driver: about 6 bytes for each distinct feature of a text.
+    ``prior`` is added to a text's number of features when their shares are taken. Only the hashed features come to the driver: about 6 bytes for each distinct feature of a text.
     """
     rated = (
         labels.select(labels["doc_id"].alias("doc_id"), labels[label].cast("double").alias("label"))
@@ -154,7 +160,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, use: Column,
         for batch in batches:
             ids, counts = [], []
             for text in batch.column(1).to_pylist():
-                k, n = text_features(text, buckets, grams)
+                k, n = text_features(prepare(text) if prepare else text, buckets, grams)
                 ids.append(k.astype("<u4").tobytes())
                 counts.append(np.minimum(n, 65535).astype("<u2").tobytes())
             yield pa.RecordBatch.from_arrays(
@@ -167,8 +173,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, use: Column,
     ids = [np.frombuffer(x, "<u4") for x in got.column("ids").to_pylist()]
     counts = [np.frombuffer(x, "<u2").astype(np.float32) for x in got.column("counts").to_pylist()]
     return Sample(
-        np.cumsum([0, *map(len, ids)]), np.concatenate([np.zeros(0, np.int64), *ids]).astype(np.int64),
-        np.concatenate([np.zeros(0, np.float32), *(c / c.sum() for c in counts if len(c))]), np.array(got.column("label").to_pylist(), float),
+        np.cumsum([0, *map(len, ids)]), np.concatenate([np.zeros(0, np.int32), *(x.view(np.int32) for x in ids)]),
+        np.concatenate([np.zeros(0, np.float32), *(c / (c.sum() + prior) for c in counts if len(c))]), np.array(got.column("label").to_pylist(), float),
     )
 
 
