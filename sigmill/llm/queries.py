@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, license_scan, quality, toxicity, warc
+from . import embedding_dedup, language, license_scan, quality, toxicity, warc
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -31,7 +35,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_license_scan, op5_quality, op7_language, op8_toxicity, op10_warc)}
+    return {f.__name__: f for f in (op3_license_scan, op4_embedding_dedup, op5_quality, op7_language, op8_toxicity, op10_warc)}
 
 
 # DuckDB: lower-case hex of SHA-1 to upper-case base32, five bits at a time.
@@ -54,5 +58,18 @@ FROM b
 """
 
 
+_OP4 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT vec_id AS id, vec_id AS c FROM embeddings UNION SELECT l.b, r.c FROM reach r JOIN links l ON l.a = r.id),
+comp AS (SELECT id, min(c) AS component_id FROM reach GROUP BY id)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN comp c ON c.id = e.vec_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_warc": _OP10}
+    return {"op4_embedding_dedup": _OP4, "op10_warc": _OP10}
