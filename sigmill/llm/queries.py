@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, language, license_scan, quality, toxicity, warc
+from . import decontaminate, embedding_dedup, language, license_scan, quality, span_dedup, toxicity, warc
 from .common import table
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
@@ -30,12 +34,28 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_digest(table(spark, sf_dir, "pages"))
 
 
+QUERIES = (
+    op2_decontamination,
+    op3_license_scan,
+    op4_embedding_dedup,
+    op5_quality,
+    op7_language,
+    op8_toxicity,
+    op9_substring_dedup,
+    op10_warc,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_license_scan, op4_embedding_dedup, op5_quality, op7_language, op8_toxicity, op10_warc)}
+    return {f.__name__: f for f in QUERIES}
 
 
 # DuckDB: lower-case hex of SHA-1 to upper-case base32, five bits at a time.
