@@ -30,7 +30,7 @@ THRESHOLD = 0.95
 #: Dimensions of a block, and vectors from which the rotation is fitted (results do not depend on it).
 BLOCK, FIT_ROWS = 8, 5000
 #: Rows of a tile: two tiles are what one comparison holds.
-TILE = 2048
+TILE = 4096
 #: Rotated coordinates are whole multiples of 1/GRID, so that every task finds the same distances within blocks.
 GRID = 1 << 20
 #: Slack on squared distances for that rounding; verification is exact.
@@ -121,10 +121,15 @@ def _compare(rotation: Rotation, threshold: float):
 
     budgets = np.floor(rotation.budgets * GRID * GRID).astype(np.int64)
 
-    def within(a: np.ndarray, b: np.ndarray, k: int) -> np.ndarray:
-        """Squared distances of block k in single precision, all with all."""
+    rounding = 1e-5
+
+    def sides(a: np.ndarray, b: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows whose products are block k's share less its squared distance, in single precision."""
         p, q = (x[:, rotation.cuts[k] : rotation.cuts[k + 1]].astype(np.float32) / GRID for x in (a, b))
-        return (p * p).sum(1)[:, None] + (q * q).sum(1)[None, :] - 2 * (p @ q.T)
+        one = lambda x: np.ones((len(x), 1), np.float32)
+        left = np.hstack([2 * p, one(p), -(p * p).sum(1, keepdims=True)])
+        right = np.hstack([q, np.float32(rotation.budgets[k]) - (q * q).sum(1, keepdims=True), one(q)])
+        return left, np.ascontiguousarray(right.T)
 
     def exact(a: np.ndarray, b: np.ndarray, k: int) -> np.ndarray:
         d = a[:, rotation.cuts[k] : rotation.cuts[k + 1]] - b[:, rotation.cuts[k] : rotation.cuts[k + 1]]
@@ -133,19 +138,28 @@ def _compare(rotation: Rotation, threshold: float):
     def links(a: np.ndarray, a_turned: np.ndarray, b: np.ndarray, b_turned: np.ndarray, block: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
         """The linked pairs whose first block within its share is ``block``."""
         found = []
+        products = {block: sides(a_turned, b_turned, block)}
         for at in range(0, len(a), 128):
-            part, rounding = a_turned[at : at + 128], 1e-5
-            near = within(part, b_turned, block) <= rotation.budgets[block] + rounding
-            for k in range(block):
-                near &= within(part, b_turned, k) >= rotation.budgets[k] - rounding
+            left, right = products[block]
+            near = left[at : at + 128] @ right >= -rounding
             if same:
-                near &= np.arange(len(b))[None, :] > np.arange(at, at + len(part))[:, None]
+                near[:, : at + 1] = False
+                near &= np.arange(len(b))[None, :] > np.arange(at, at + len(near))[:, None]
+            if block and np.count_nonzero(near) > near.size // 16:  # a dense group: leave what an earlier block surely has
+                for k in range(block):
+                    if k not in products:
+                        products[k] = sides(a_turned, b_turned, k)
+                    left, right = products[k]
+                    near &= left[at : at + 128] @ right <= rounding
             i, j = np.nonzero(near)
+            if not len(i):
+                continue
             i += at
             keep = exact(a_turned[i], b_turned[j], block) <= budgets[block]
-            for k in range(block):
-                keep &= exact(a_turned[i], b_turned[j], k) > budgets[k]
             i, j = i[keep], j[keep]
+            for k in range(block):
+                keep = exact(a_turned[i], b_turned[j], k) > budgets[k]
+                i, j = i[keep], j[keep]
             hit = np.einsum("ij,ij->i", a[i], b[j]) >= threshold
             found.append((i[hit], j[hit]))
         return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, int),) * 2
