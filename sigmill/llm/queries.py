@@ -6,10 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, embedding_dedup, language, license_scan, quality, span_dedup, toxicity, warc
+from . import byte_bpe, decontaminate, embedding_dedup, language, license_scan, near_dedup, quality, span_dedup, toxicity, warc
 from .common import table
 
 
+#: Where the public vocabulary lies, unless a caller names another place.
+VOCABULARY = "byte_bpe_50k.tiktoken"
+
+
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -26,6 +40,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(table(spark, sf_dir, "documents"))
 
@@ -43,10 +61,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = (
+    op1_jaccard_join,
     op2_decontamination,
     op3_license_scan,
     op4_embedding_dedup,
     op5_quality,
+    op6_byte_bpe,
     op7_language,
     op8_toxicity,
     op9_substring_dedup,
@@ -91,5 +111,19 @@ FROM embeddings e JOIN comp c ON c.id = e.vec_id
 """
 
 
+_OP1 = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS g FROM t),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+m AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT m.a, m.b FROM m JOIN n x ON x.doc_id = m.a JOIN n y ON y.doc_id = m.b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reach AS (SELECT doc_id AS id, doc_id AS c FROM documents UNION SELECT l.b, r.c FROM reach r JOIN links l ON l.a = r.id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(c) FROM reach r WHERE r.id = d.doc_id) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_embedding_dedup": _OP4, "op10_warc": _OP10}
+    return {"op1_jaccard_join": _OP1, "op4_embedding_dedup": _OP4, "op10_warc": _OP10}
