@@ -85,7 +85,7 @@ def write_segments(rows: Iterator[tuple], root: str, stem: str, dictionary: byte
     for row in rows:
         if out is None:
             name = f"{stem}-{uuid.uuid4().hex}.warc.zst"
-            out = store.open_output_stream(f"{base}/_{name}")
+            out = store.open_output_stream(f"{base}/_{name}", compression=None)  # the name would have it compressed again
             size = out.write(struct.pack("<II", DICTIONARY_MAGIC, len(dictionary)) + dictionary)
         size += out.write(squeeze.compress(record_bytes(*row)))
         n += 1
@@ -181,7 +181,7 @@ def read_archive(spark: SparkSession, manifest: DataFrame, id_type: str = "bigin
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 store, at = fs.FileSystem.from_uri(path)
-                with store.open_input_stream(at) as f:
+                with store.open_input_stream(at, compression=None) as f:
                     data = memoryview(f.read())
                 held, size = [], 0
                 for record in frames(data):
