@@ -125,11 +125,15 @@ def text_features(text: str | None, buckets: int, grams: Grams) -> tuple[np.ndar
 
 @dataclass
 class Sample:
-    """Texts as rows of (bucket, share of the text's features), and their labels."""
+    """Texts as rows of (bucket, count of the feature), what a count of one is worth in each, and the labels.
+
+    Kept as narrow as they come: three bytes for a feature of up to 65,536 buckets.
+    """
 
     starts: np.ndarray
     ids: np.ndarray
-    shares: np.ndarray
+    counts: np.ndarray
+    unit: np.ndarray
     labels: np.ndarray
 
     def __len__(self) -> int:
@@ -140,13 +144,13 @@ class Sample:
         sizes = self.starts[which + 1] - self.starts[which]
         row = np.repeat(np.arange(len(which)), sizes)
         at = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(self.starts[which], sizes)
-        return self.ids[at], self.shares[at], row
+        return self.ids[at].astype(np.int64), self.counts[at] * self.unit[which][row], row
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, use: Column, rows: int, buckets: int, grams: Grams, prior: float = 0.0, prepare: Callable | None = None) -> Sample:
     """At most ``rows`` labelled documents with ``use``, those with the smallest hashed ids, as hashed features.
 
-    ``prior`` is added to a text's number of features when their shares are taken. Only the hashed features come to the driver: about 6 bytes for each distinct feature of a text.
+    ``prior`` is added to a text's number of features when their shares are taken. Only the hashed features come to the driver: 3 bytes for each distinct feature of a text (counts beyond 255 are 255).
     """
     rated = (
         labels.select(labels["doc_id"].alias("doc_id"), labels[label].cast("double").alias("label"))
@@ -156,13 +160,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, use: Column,
     chosen = bounded_sample(rated, rows, "doc_id")
     texts = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text")).join(F.broadcast(chosen), "doc_id")
 
+    kind_of_id = "<u2" if buckets <= 1 << 16 else "<u4"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, counts = [], []
             for text in batch.column(1).to_pylist():
                 k, n = text_features(prepare(text) if prepare else text, buckets, grams)
-                ids.append(k.astype("<u4").tobytes())
-                counts.append(np.minimum(n, 65535).astype("<u2").tobytes())
+                ids.append(k.astype(kind_of_id).tobytes())
+                counts.append(np.minimum(n, 255).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(ids, pa.binary()), pa.array(counts, pa.binary())], names=["doc_id", "label", "ids", "counts"]
             )
@@ -170,12 +176,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, use: Column,
     kind = docs.schema["doc_id"].dataType.simpleString()
     got = texts.mapInArrow(run, f"doc_id {kind}, label double, ids binary, counts binary").toArrow()
     got = got.take(pa.compute.sort_indices(got, [("doc_id", "ascending"), ("label", "ascending")])) if len(got) else got
-    ids = [np.frombuffer(x, "<u4") for x in got.column("ids").to_pylist()]
-    counts = [np.frombuffer(x, "<u2").astype(np.float32) for x in got.column("counts").to_pylist()]
-    return Sample(
-        np.cumsum([0, *map(len, ids)]), np.concatenate([np.zeros(0, np.int32), *(x.view(np.int32) for x in ids)]),
-        np.concatenate([np.zeros(0, np.float32), *(c / (c.sum() + prior) for c in counts if len(c))]), np.array(got.column("label").to_pylist(), float),
-    )
+    labels_of = np.array(got.column("label").to_pylist(), float)
+    sizes = [len(x.as_buffer() or b"") for c in got.column("counts").chunks for x in c]
+    ids = np.frombuffer(b"".join(x.as_py() for c in got.column("ids").chunks for x in c), kind_of_id)
+    counts = np.frombuffer(b"".join(x.as_py() for c in got.column("counts").chunks for x in c), np.uint8)
+    starts = np.cumsum([0, *sizes])
+    totals = np.diff(np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])[starts])
+    return Sample(starts, ids, counts, 1 / np.maximum(totals + prior, 1), labels_of)
 
 
 def adam(params: list[np.ndarray], rate: float) -> Callable[[list[np.ndarray]], None]:

@@ -18,8 +18,8 @@ from .common import held_out, schema_with
 from .hashed_text import Sample, adam, add_up, distinct_words, labelled_sample, subword_grams, text_sums
 
 BUCKETS, WIDTH = 1 << 16, 8
-#: Labelled texts to learn from, and passes over them.
-TRAIN_ROWS, EPOCHS, BATCH, RATE = 8000, 4, 128, 0.05
+#: Labelled texts to learn from, and steps of so many of them each.
+TRAIN_ROWS, STEPS, BATCH, RATE = 6000, 300, 128, 0.05
 #: Factor of the averages: a text's average moves little for a word in a hundred.
 SCALE = 200.0
 #: Each text's average has so many zero vectors besides, or a few odd words would decide a short one.
@@ -42,7 +42,7 @@ class Model:
         return float(self.bias[1] - self.bias[0])
 
 
-def train(sample: Sample, buckets: int = BUCKETS, width: int = WIDTH, epochs: int = EPOCHS, seed: int = 7) -> Model:
+def train(sample: Sample, buckets: int = BUCKETS, width: int = WIDTH, steps: int = STEPS, seed: int = 7) -> Model:
     """Cross-entropy of the softmax by Adam on small batches; without both classes the model is the share of the class."""
     rng = np.random.default_rng(seed)
     y = (sample.labels > 0).astype(np.int64)
@@ -52,7 +52,7 @@ def train(sample: Sample, buckets: int = BUCKETS, width: int = WIDTH, epochs: in
         return model
     model.vectors[:] = rng.normal(0, 0.01, (buckets, width))
     step = adam([model.vectors, model.softmax, model.bias], RATE)
-    for _ in range(epochs):
+    for _ in range(-(-steps * BATCH // len(y))):
         order = rng.permutation(len(y))
         for at in range(0, len(y), BATCH):
             which = order[at : at + BATCH]
