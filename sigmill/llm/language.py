@@ -31,18 +31,12 @@ _BROKEN = 1 << 30
 
 
 def normal(text: str) -> str:
-    """Lower-case letters; each run of other characters is a space."""
-    points, letter = _symbols_of(text)
-    return "".join(map(chr, points)) if len(points) else ""
-
-
-def _symbols_of(text: str) -> tuple[np.ndarray, bool]:
-    raw = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    """Lower-case letters; each run of other characters is a space, and one follows a last letter."""
+    raw = np.frombuffer((text + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
     letter = mapped(raw, IS_LETTER, True)
-    points = np.where(letter, mapped(raw, LOWER, None), 32)
     keep = letter.copy()
     keep[1:] |= letter[:-1]
-    return points[keep], bool(letter.any())
+    return "".join(map(chr, np.where(letter, mapped(raw, LOWER, None), 32)[keep]))
 
 
 def suffix_automaton(text: str) -> list[dict[str, int]]:
@@ -97,13 +91,14 @@ def build(samples: dict[str, str]) -> Model:
     for language in languages:
         moves = suffix_automaton(samples[language])
         base = sum(len(r) for r in rows)
-        root = base * width
-        roots.append(root)
-        fresh = np.full(width, root | _BROKEN, np.int32)  # a phrase of the one symbol
+        # before the first symbol, and after one that the sample does not have, any symbol begins a phrase
+        outside = (base + len(moves)) * width
+        roots.append(outside)
+        fresh = np.full(width, outside | _BROKEN, np.int32)
         for c, to in moves[0].items():
             fresh[codes[ord(c)]] = ((base + to) * width) | _BROKEN
-        block = np.tile(fresh, (len(moves), 1))
-        block[:, 0] = (base + np.arange(len(moves))) * width  # no symbol: stay
+        block = np.tile(fresh, (len(moves) + 1, 1))
+        block[:, 0] = (base + np.arange(len(moves) + 1)) * width  # no symbol: stay
         for state, by in enumerate(moves):
             for c, to in by.items():
                 block[state, codes[ord(c)]] = (base + to) * width
@@ -156,7 +151,7 @@ def phrases(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.ndarr
                 broken[:, :live] += v >> 30
                 state[:, :live] = v & (_BROKEN - 1)
             for x in range(k):
-                out[i:j, x] += np.bincount(whose, broken[x] + 1, j - i)
+                out[i:j, x] += np.bincount(whose, broken[x], j - i)
     return out, sizes
 
 

@@ -78,7 +78,7 @@ class Sentences:
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for i, _, data, offsets in text_chunks(batch.column(1)):
+        for i, _, data, offsets in text_chunks(batch.column(2)):
             s = Sentences(data, offsets)
             text, first, end = s.spans()
             if not len(text):
@@ -87,10 +87,10 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             base = s.of_text[text]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).take(pa.array(i + text)), pa.array((first - base).astype(np.int32)), pa.array((end - base).astype(np.int32)),
+                    batch.column(0).take(pa.array(i + text)), batch.column(1).take(pa.array(i + text)), pa.array((first - base).astype(np.int32)), pa.array((end - base).astype(np.int32)),
                     pa.array(h1.view(np.int64)), pa.array((h2 >> np.uint64(32)).astype(np.uint32).view(np.int32)),
                 ],
-                names=["id", "s", "e", "h1", "h2"],
+                names=["id", "th", "s", "e", "h1", "h2"],
             )
 
 
@@ -122,13 +122,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     docs = docs.drop("n_sentences", "n_removed")
     kind = docs.schema[id_col].dataType.simpleString()
-    found = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    spans = found.mapInArrow(_spans, f"id {kind}, s int, e int, h1 long, h2 int")
+    found = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
+    spans = found.mapInArrow(_spans, f"id {kind}, th long, s int, e int, h1 long, h2 int")
     many = spans.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1").drop("n")
     many = materialize(many, "repeats")
-    repeated = spans.join(many, ["h1", "h2"]).select("id", "s", "e", "h1", "h2", (F.col("id") == F.col("first")).alias("own"))
-    by_text = repeated.groupBy("id").agg(F.collect_list(F.struct("s", "e", "h1", "h2", "own")).alias("_spans")).withColumnRenamed("id", "_id")
-    joined = docs.join(by_text, docs[id_col] == by_text["_id"], "left").drop("_id")
+    repeated = spans.join(many, ["h1", "h2"]).select("id", "th", "s", "e", "h1", "h2", (F.col("id") == F.col("first")).alias("own"))
+    # a set, and by text as well: rows that repeat an id repeat its spans, or have others
+    by_text = repeated.groupBy(F.col("id").alias("_id"), F.col("th").alias("_th")).agg(F.collect_set(F.struct("s", "e", "h1", "h2", "own")).alias("_spans"))
+    joined = docs.join(by_text, (docs[id_col] == by_text["_id"]) & (F.xxhash64(docs[text_col]) == by_text["_th"]), "left").drop("_id", "_th")
     at, n = docs.columns.index(text_col), len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
