@@ -11,12 +11,10 @@ changes nothing but time. Decoding looks up each id's bytes and concatenates the
 from __future__ import annotations
 
 import base64
-import json
 from dataclasses import dataclass
 from functools import lru_cache
 
-import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bounded_sample
@@ -93,13 +91,10 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(read_ranks(path))
 
 
-def literal_longs(values: list[int]) -> Column:
-    """An array literal: the optimizer folds the cast of one string, where a call for each element would take minutes."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
-
-
-def literal_strings(values: list[str]) -> Column:
-    return F.split(F.lit(",".join(values)), ",")
+def constant(spark: SparkSession, value: object, kind: str) -> Column:
+    """A value as a scalar subquery: it is evaluated once and stands in the tasks as a compact literal, but not in the
+    text of plans, which the optimizer compares and listeners print over and over."""
+    return spark.createDataFrame([(value,)], f"v {kind}").scalar()
 
 
 def pair_rank(table: Column, a: Column, b: Column) -> Column:
@@ -151,19 +146,29 @@ def pieces(text: Column) -> Column:
 
 
 class Codec:
-    """The expressions of one vocabulary."""
+    """One vocabulary's tables, and the DataFrame functions that use them.
+
+    The tables are scalar subqueries in a projection of their own (higher-order functions take none);
+    the optimizer moves each into its one place of use.
+    """
 
-    def __init__(self, path: str):
+    def __init__(self, spark: SparkSession, path: str):
         v = vocabulary(path)
-        self.table, self.byte_ids = literal_longs(v.pair_table()), literal_longs(v.byte_ids())
-        self.pieces_hex = literal_strings(v.pieces_hex())
-        self.ids_hex = literal_strings([i.to_bytes(4, "little").hex() for i in range(len(v.pieces_hex()))])
-        self.memo: Column | None = None
+        self.spark = spark
+        self.tables = {
+            "table": constant(spark, v.pair_table(), "array<bigint>"),
+            "bytes": constant(spark, v.byte_ids(), "array<bigint>"),
+            "ids_hex": constant(spark, [i.to_bytes(4, "little").hex() for i in range(len(v.pieces_hex()))], "array<string>"),
+            "pieces_hex": constant(spark, v.pieces_hex(), "array<string>"),
+        }
         self.memo_size = 0
 
-    def fold(self, piece: Column) -> Column:
-        """The ids of one piece; the literals are bound once, or the optimizer would compare many copies of them."""
-        return let(F.struct(self.table.alias("table"), self.byte_ids.alias("bytes")), lambda e: fold_merges(piece, e["table"], e["bytes"]))
+    def apply(self, df: DataFrame, name: str, names: list[str], f) -> DataFrame:
+        """``df`` with column ``name``: f of a struct of the named tables, bound once."""
+        names = [n for n in names if n in self.tables]
+        rest = [c for c in df.columns if c != name]
+        with_tables = df.select("*", *(self.tables[n].alias(f"_bpe_{n}") for n in names))
+        return with_tables.select(*rest, let(F.struct(*(F.col(f"_bpe_{n}").alias(n) for n in names)), f).alias(name))
 
     def _slots(self, piece: Column) -> tuple[Column, Column]:
         return F.pmod(F.xxhash64(piece), F.lit(self.memo_size)), F.pmod(F.hash(piece).cast("bigint"), F.lit(self.memo_size))
@@ -172,56 +177,65 @@ class Codec:
         """Fill the memo with the pieces that occur most in a bounded sample, encoded by the fold."""
         sample = bounded_sample(docs.select(id_col, text_col), MEMO_DOCS, id_col)
         counts = sample.select(F.explode(pieces(F.col(text_col))).alias("w")).groupBy("w").count().where(F.octet_length("w") <= 64)
-        top = counts.orderBy(F.desc("count"), "w").limit(MEMO_PIECES).select("w")
+        top = counts.orderBy(F.desc("count"), "w").limit(MEMO_PIECES).select("w").repartition(64, "w")
         self.memo_size = (2 * MEMO_PIECES) | 1
         one, two = self._slots(F.col("w"))
-        rows = top.repartition(64, "w").select("w", self.fold(F.col("w")).alias("t"), one.alias("a"), two.alias("b")).toArrow().to_pydict()
-        if not rows["w"]:
-            return
-        self.memo_size = (2 * MEMO_PIECES) | 1
-        at = two_slots(list(zip(rows["a"], rows["b"], strict=True)), self.memo_size)
-        slots = [None if i < 0 else {"w": rows["w"][i], "t": rows["t"][i]} for i in at]
-        self.memo = F.from_json(F.lit(json.dumps(slots, ensure_ascii=False)), "array<struct<w:string,t:array<bigint>>>")
-
-    def encode(self, text: Column) -> Column:
-        """The ids of a text; none for null."""
-
-        def one(w: Column, e: Column) -> Column:
+        folded = self.apply(top, "t", ["table", "bytes"], lambda e: fold_merges(F.col("w"), e["table"], e["bytes"]))
+        rows = folded.select("w", "t", one.alias("a"), two.alias("b")).toArrow().to_pydict()
+        if rows["w"]:
+            at = two_slots(list(zip(rows["a"], rows["b"], strict=True)), self.memo_size)
+            slots = [None if i < 0 else (rows["w"][i], rows["t"][i]) for i in at]
+            self.tables["memo"] = constant(self.spark, slots, "array<struct<w:string,t:array<bigint>>>")
+
+    def _ids(self, text: Column, e: Column) -> Column:
+        def one(w: Column) -> Column:
             folded = fold_merges(w, e["table"], e["bytes"])
-            if self.memo is None:
+            if "memo" not in self.tables:
                 return folded
             a, b = (F.get(e["memo"], s) for s in self._slots(w))
             return F.when(a["w"] == w, a["t"]).when(b["w"] == w, b["t"]).otherwise(folded)
 
-        parts = [self.table.alias("table"), self.byte_ids.alias("bytes"), *([] if self.memo is None else [self.memo.alias("memo")])]
-        return let(F.struct(*parts), lambda e: F.flatten(F.transform(pieces(text), lambda w: one(w, e))))
+        return F.flatten(F.transform(pieces(text), one))
 
-    def ids_bytes(self, ids: Column) -> Column:
-        """The ids as little-endian unsigned 32-bit integers."""
-        return F.unhex(F.array_join(F.transform(ids, lambda t: F.get(self.ids_hex, t)), ""))
+    @staticmethod
+    def _join(ids: Column, hexes: Column) -> Column:
+        return F.unhex(F.array_join(F.transform(ids, lambda t: F.get(hexes, t)), ""))
 
-    def decode(self, ids: Column) -> Column:
-        """The bytes that the ids stand for."""
-        return F.unhex(F.array_join(F.transform(ids, lambda t: F.get(self.pieces_hex, t)), ""))
+    def encode(self, df: DataFrame, text_col: str = "text", name: str = "token_ids") -> DataFrame:
+        """Add the ids of a text (array of bigint); none for null."""
+        return self.apply(df, name, ["table", "bytes", "memo"], lambda e: self._ids(F.col(text_col), e))
 
+    def decode(self, df: DataFrame, ids_col: str = "token_ids", name: str = "decoded") -> DataFrame:
+        """Add the bytes that the ids stand for."""
+        return self.apply(df, name, ["pieces_hex"], lambda e: self._join(F.col(ids_col), e["pieces_hex"]))
 
-def encode_table(docs: DataFrame, path: str, text_col: str = "text", id_col: str = "doc_id") -> tuple[DataFrame, Codec]:
-    """``docs`` with token_ids (array of bigint) in place of the text, and the codec that decodes them.
+    def digest(self, df: DataFrame, text_col: str = "text", name: str = "digest") -> DataFrame:
+        """Add a struct: number of ids, SHA-256 of the ids as little-endian 32-bit integers, and of what they decode to."""
 
-    Null and empty texts have no ids. Every row stays, repeated ones too; other columns pass, one named
-    token_ids is replaced; an empty table gives an empty result. A piece of n bytes takes n steps over
-    at most n ids each.
-    """
-    codec = Codec(path)
+        def of(e: Column) -> Column:
+            return let(
+                self._ids(F.col(text_col), e),
+                lambda ids: F.struct(
+                    F.size(ids).cast("long").alias("n_tokens"), F.sha2(self._join(ids, e["ids_hex"]), 256).alias("ids_sha256"),
+                    F.sha2(self._join(ids, e["pieces_hex"]), 256).alias("decoded_sha256"),
+                ),
+            )
+
+        return self.apply(df, name, ["table", "bytes", "memo", "ids_hex", "pieces_hex"], of)
+
+
+def codec_for(docs: DataFrame, path: str, text_col: str = "text", id_col: str = "doc_id") -> Codec:
+    """The vocabulary's codec with a memo for these texts."""
+    codec = Codec(docs.sparkSession, path)
     codec.learn(docs, text_col, id_col)
-    rest = [c for c in docs.columns if c not in (text_col, "token_ids")]
-    return docs.select(*rest, codec.encode(F.col(text_col)).alias("token_ids")), codec
+    return codec
 
 
 def round_trip(docs: DataFrame, path: str, *keep: str) -> DataFrame:
-    """doc_id, n_tokens, SHA-256 of the ids (little-endian, 32 bits each) and of the decoded bytes, of every document; then the columns ``keep``."""
-    encoded, codec = encode_table(docs.select("doc_id", "text", *keep), path)
-    ids = F.col("token_ids")
-    return encoded.select(
-        "doc_id", F.size(ids).cast("long").alias("n_tokens"), F.sha2(codec.ids_bytes(ids), 256).alias("ids_sha256"), F.sha2(codec.decode(ids), 256).alias("decoded_sha256"), *keep
-    )
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document; then the columns ``keep``.
+
+    Null and empty texts have no ids. Every row stays, repeated ones too; other columns are not read;
+    an empty table gives an empty result. A piece of n bytes takes n steps over at most n ids each.
+    """
+    docs = docs.select("doc_id", "text", *keep)
+    return codec_for(docs, path).digest(docs).select("doc_id", "digest.*", *keep)
