@@ -25,11 +25,16 @@ MEMO_DOCS, MEMO_PIECES = 20_000, 200_000
 # The splitting pattern of the vocabulary, with Unicode white space spelt out for Java.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{IsWhite_Space}\p{L}\p{N}]+|\p{IsWhite_Space}+(?!\P{IsWhite_Space})|\p{IsWhite_Space}+"
 
-_RANK = 1 << 16  # ranks are below; what no pair has is at or above
-_EDGE = _RANK - 1  # stands before and after a piece; part of no pair
+_NONE = (1 << 16) - 1  # the rank of what is no pair; ranks are below
+_EDGE = _NONE  # the id that stands before and after a piece; part of no pair
+_AT_RANK, _AT_PLACE = 47, 16  # a number of the fold's state: rank, place (31 bits), id (16 bits)
+_ID = (1 << _AT_PLACE) - 1
+_PLACE_AND_ID = (1 << _AT_RANK) - 1
+_PLACE = _PLACE_AND_ID - _ID
 _EMPTY = 1 << 62
 _SLOTS = (1 << 19) - 1
 _STEPS = ((40503, 69069), (48271, 16807))
+_HEXED = "struct<ids:string,decoded:string>"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -98,10 +103,10 @@ def constant(spark: SparkSession, value: object, kind: str) -> Column:
 
 
 def pair_rank(table: Column, a: Column, b: Column) -> Column:
-    """The pair's rank, or a number of at least 65536: whatever else a slot holds differs above the lowest 16 bits."""
+    """The pair's rank, or _NONE: whatever else a slot holds differs above the lowest 16 bits."""
     key = a * F.lit(1 << 32) + b * F.lit(1 << 16)
     slots = (F.get(table, (a * F.lit(s[0]) + b * F.lit(s[1])) % F.lit(_SLOTS)).bitwiseXOR(key) for s in _STEPS)
-    return F.least(*slots)
+    return F.least(*slots, F.lit(_NONE))
 
 
 def let(value: Column, f) -> Column:
@@ -110,35 +115,44 @@ def let(value: Column, f) -> Column:
 
 
 def fold_merges(piece: Column, table: Column, byte_ids: Column) -> Column:
-    """The ids (array of bigint) of one piece of text."""
+    """The ids (array of bigint) of one piece of text.
+
+    The state is one array of numbers: the rank of the pair that an id begins, the id's place in the piece, the id. Its
+    least number is the leftmost pair of the lowest rank.
+    """
+    edge = F.array(F.lit(_EDGE).cast("bigint"))
     single = F.split(F.decode(F.encode(piece, "UTF-8"), "ISO-8859-1"), "")
-    ids = F.concat(F.array(F.lit(_EDGE).cast("bigint")), F.transform(single, lambda c: F.get(byte_ids, F.ascii(c))), F.array(F.lit(_EDGE).cast("bigint")))
+    ids = F.concat(edge, F.transform(single, lambda c: F.get(byte_ids, F.ascii(c))), edge)
+
+    def id_of(packed: Column) -> Column:
+        return packed.bitwiseAND(F.lit(_ID))
+
+    def with_rank(packed: Column, rank: Column) -> Column:  # the place and the id stay
+        return F.shiftleft(rank, _AT_RANK).bitwiseOR(packed)
 
-    def ranked(ids: Column) -> Column:
-        return F.struct(ids.alias("ids"), F.transform(F.slice(ids, 1, F.size(ids) - 1), lambda a, i: pair_rank(table, a, F.get(ids, i + 1))).alias("ranks"))
+    def start(ids: Column) -> Column:
+        return F.transform(ids, lambda a, i: with_rank(F.shiftleft(i.cast("bigint"), _AT_PLACE).bitwiseOR(a), pair_rank(table, a, F.coalesce(F.get(ids, i + 1), F.lit(_EDGE)))))
 
-    def merge(state: Column) -> Column:
+    def merge(state: Column, least: Column) -> Column:
         def at(i: Column) -> Column:  # of the pair's first id, from 1; the edges never merge
-            ids, ranks = state["ids"], state["ranks"]
-            new = F.get(ranks, i - 1)
-            return F.struct(
-                F.concat(F.slice(ids, 1, i - 1), F.array(new), F.slice(ids, i + 2, F.size(ids))).alias("ids"),
-                F.concat(
-                    F.slice(ranks, 1, i - 2),
-                    F.array(pair_rank(table, F.get(ids, i - 2), new), pair_rank(table, new, F.get(ids, i + 1))),
-                    F.slice(ranks, i + 2, F.size(ranks)),
-                ).alias("ranks"),
+            new, before = F.shiftright(least, _AT_RANK), F.get(state, i - 2)
+            return F.concat(
+                F.slice(state, 1, i - 2),
+                F.array(
+                    with_rank(before.bitwiseAND(F.lit(_PLACE_AND_ID)), pair_rank(table, id_of(before), new)),
+                    with_rank(least.bitwiseAND(F.lit(_PLACE)).bitwiseOR(new), pair_rank(table, new, id_of(F.get(state, i + 1)))),
+                ),
+                F.slice(state, i + 2, F.size(state)),
             )
 
-        return let(F.array_position(state["ranks"], F.array_min(state["ranks"])).cast("int"), at)
+        return let(F.array_position(state, least).cast("int"), at)
 
-    folded = F.aggregate(
+    return F.aggregate(
         F.sequence(F.lit(2), F.greatest(F.octet_length(piece), F.lit(2))),
-        let(ids, ranked),
-        lambda state, _: F.when(F.array_min(state["ranks"]) < _RANK, merge(state)).otherwise(state),
-        lambda state: F.slice(state["ids"], 2, F.size(state["ids"]) - 2),
+        let(ids, start),
+        lambda state, _: let(F.array_min(state), lambda least: F.when(least < F.lit(_NONE << _AT_RANK), merge(state, least)).otherwise(state)),
+        lambda state: F.transform(F.slice(state, 2, F.size(state) - 2), id_of),
     )
-    return folded
 
 
 def pieces(text: Column) -> Column:
@@ -173,61 +187,72 @@ class Codec:
     def _slots(self, piece: Column) -> tuple[Column, Column]:
         return F.pmod(F.xxhash64(piece), F.lit(self.memo_size)), F.pmod(F.hash(piece).cast("bigint"), F.lit(self.memo_size))
 
-    def learn(self, docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> None:
-        """Fill the memo with the pieces that occur most in a bounded sample, encoded by the fold."""
+    def learn(self, docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", digests: bool = False) -> None:
+        """Fill the memo with the pieces that occur most in a bounded sample, encoded by the fold: their ids or, for
+        ``digest``, the hexadecimal ids and what these decode to."""
         sample = bounded_sample(docs.select(id_col, text_col), MEMO_DOCS, id_col)
         counts = sample.select(F.explode(pieces(F.col(text_col))).alias("w")).groupBy("w").count().where(F.octet_length("w") <= 64)
         top = counts.orderBy(F.desc("count"), "w").limit(MEMO_PIECES).select("w").repartition(64, "w")
         self.memo_size = (2 * MEMO_PIECES) | 1
         one, two = self._slots(F.col("w"))
-        folded = self.apply(top, "t", ["table", "bytes"], lambda e: fold_merges(F.col("w"), e["table"], e["bytes"]))
+        needs, kind = (["ids_hex", "pieces_hex"], _HEXED) if digests else ([], "array<bigint>")
+        folded = self.apply(top, "t", ["table", "bytes", *needs], lambda e: self._hexed(F.col("w"), e) if digests else self._piece_ids(F.col("w"), e))
         rows = folded.select("w", "t", one.alias("a"), two.alias("b")).toArrow().to_pydict()
         if rows["w"]:
             at = two_slots(list(zip(rows["a"], rows["b"], strict=True)), self.memo_size)
             slots = [None if i < 0 else (rows["w"][i], rows["t"][i]) for i in at]
-            self.tables["memo"] = constant(self.spark, slots, "array<struct<w:string,t:array<bigint>>>")
+            self.tables["memo_hex" if digests else "memo"] = constant(self.spark, slots, f"array<struct<w:string,t:{kind}>>")
+
+    def _known(self, memo: str, w: Column, e: Column, otherwise: Column) -> Column:
+        """What the memo has for a piece, or else ``otherwise``."""
+        if memo not in self.tables:
+            return otherwise
+        a, b = (F.get(e[memo], s) for s in self._slots(w))
+        return F.when(a["w"] == w, a["t"]).when(b["w"] == w, b["t"]).otherwise(otherwise)
 
-    def _ids(self, text: Column, e: Column) -> Column:
-        def one(w: Column) -> Column:
-            folded = fold_merges(w, e["table"], e["bytes"])
-            if "memo" not in self.tables:
-                return folded
-            a, b = (F.get(e["memo"], s) for s in self._slots(w))
-            return F.when(a["w"] == w, a["t"]).when(b["w"] == w, b["t"]).otherwise(folded)
+    def _piece_ids(self, w: Column, e: Column) -> Column:
+        return self._known("memo", w, e, fold_merges(w, e["table"], e["bytes"]))
 
-        return F.flatten(F.transform(pieces(text), one))
+    def _hexed(self, w: Column, e: Column) -> Column:
+        """A piece's ids as hexadecimal text, and the bytes that the ids stand for likewise."""
+        both = lambda ids: F.struct(self._join(ids, e["ids_hex"]).alias("ids"), self._join(ids, e["pieces_hex"]).alias("decoded"))
+        return self._known("memo_hex", w, e, let(self._piece_ids(w, e), both))
 
     @staticmethod
     def _join(ids: Column, hexes: Column) -> Column:
-        return F.unhex(F.array_join(F.transform(ids, lambda t: F.get(hexes, t)), ""))
+        return F.array_join(F.transform(ids, lambda t: F.get(hexes, t)), "")
 
     def encode(self, df: DataFrame, text_col: str = "text", name: str = "token_ids") -> DataFrame:
         """Add the ids of a text (array of bigint); none for null."""
-        return self.apply(df, name, ["table", "bytes", "memo"], lambda e: self._ids(F.col(text_col), e))
+        return self.apply(df, name, ["table", "bytes", "memo"], lambda e: F.flatten(F.transform(pieces(F.col(text_col)), lambda w: self._piece_ids(w, e))))
 
     def decode(self, df: DataFrame, ids_col: str = "token_ids", name: str = "decoded") -> DataFrame:
         """Add the bytes that the ids stand for."""
-        return self.apply(df, name, ["pieces_hex"], lambda e: self._join(F.col(ids_col), e["pieces_hex"]))
+        return self.apply(df, name, ["pieces_hex"], lambda e: F.unhex(self._join(F.col(ids_col), e["pieces_hex"])))
 
     def digest(self, df: DataFrame, text_col: str = "text", name: str = "digest") -> DataFrame:
-        """Add a struct: number of ids, SHA-256 of the ids as little-endian 32-bit integers, and of what they decode to."""
+        """Add a struct: number of ids, SHA-256 of the ids as little-endian 32-bit integers, and of what they decode to.
+
+        Encodes and decodes piece by piece, and concatenates.
+        """
 
-        def of(e: Column) -> Column:
+        def of(parts: Column) -> Column:
             return let(
-                self._ids(F.col(text_col), e),
+                F.array_join(parts["ids"], ""),
                 lambda ids: F.struct(
-                    F.size(ids).cast("long").alias("n_tokens"), F.sha2(self._join(ids, e["ids_hex"]), 256).alias("ids_sha256"),
-                    F.sha2(self._join(ids, e["pieces_hex"]), 256).alias("decoded_sha256"),
+                    (F.octet_length(ids) / 8).cast("long").alias("n_tokens"), F.sha2(F.unhex(ids), 256).alias("ids_sha256"),
+                    F.sha2(F.unhex(F.array_join(parts["decoded"], "")), 256).alias("decoded_sha256"),
                 ),
             )
 
-        return self.apply(df, name, ["table", "bytes", "memo", "ids_hex", "pieces_hex"], of)
+        names = ["table", "bytes", "memo", "memo_hex", "ids_hex", "pieces_hex"]
+        return self.apply(df, name, names, lambda e: let(F.transform(pieces(F.col(text_col)), lambda w: self._hexed(w, e)), of))
 
 
-def codec_for(docs: DataFrame, path: str, text_col: str = "text", id_col: str = "doc_id") -> Codec:
+def codec_for(docs: DataFrame, path: str, text_col: str = "text", id_col: str = "doc_id", digests: bool = False) -> Codec:
     """The vocabulary's codec with a memo for these texts."""
     codec = Codec(docs.sparkSession, path)
-    codec.learn(docs, text_col, id_col)
+    codec.learn(docs, text_col, id_col, digests)
     return codec
 
 
@@ -238,4 +263,4 @@ def round_trip(docs: DataFrame, path: str, *keep: str) -> DataFrame:
     an empty table gives an empty result. A piece of n bytes takes n steps over at most n ids each.
     """
     docs = docs.select("doc_id", "text", *keep)
-    return codec_for(docs, path).digest(docs).select("doc_id", "digest.*", *keep)
+    return codec_for(docs, path, digests=True).digest(docs).select("doc_id", "digest.*", *keep)
