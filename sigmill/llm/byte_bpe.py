@@ -2,7 +2,7 @@
 
 A text is split by the tokenizer's pattern, and each piece is folded: it starts as the ids of its
 bytes, and each step merges the adjacent pair of the lowest rank, until no pair has one. Ranks of
-pairs come from a literal map, laid out as an array with two possible slots for each pair (the map
+pairs come from a literal map, laid out as arrays that give a pair's one possible entry (the map
 type would be searched from end to end). A bounded literal memo holds pieces that a sample of the
 texts repeats, encoded by the same fold; every other piece is folded where it stands, so the memo
 changes nothing but time. Decoding looks up each id's bytes and concatenates them.
@@ -14,6 +14,7 @@ import base64
 from dataclasses import dataclass
 from functools import lru_cache
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +33,6 @@ _ID = (1 << _AT_PLACE) - 1
 _PLACE_AND_ID = (1 << _AT_RANK) - 1
 _PLACE = _PLACE_AND_ID - _ID
 _EMPTY = 1 << 62
-_SLOTS = (1 << 19) - 1
-_STEPS = ((40503, 69069), (48271, 16807))
 _HEXED = "struct<ids:string,decoded:string>"
 
 
@@ -69,17 +68,32 @@ class Vocabulary:
         if missing:
             raise ValueError(f"no rank for the bytes {missing}")
 
-    def pair_table(self) -> list[int]:
-        """For each slot the pair's two ids and its rank, 16 bits each."""
-        pairs = []
+    def pair_table(self) -> tuple[list[int], list[int]]:
+        """(entries, shifts): pair (a, b) is entry ``shifts[a] + b``, which holds a above 16 bits of rank; rows of the
+        matrix of pairs are laid over each other where their entries do not meet."""
+        rows: dict[int, list[tuple[int, int]]] = {}
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
                 a, b = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
                 if a is not None and b is not None:
-                    pairs.append((a, b, rank))
-        place = lambda a, b, s: (a * s[0] + b * s[1]) % _SLOTS
-        at = two_slots([(place(a, b, _STEPS[0]), place(a, b, _STEPS[1])) for a, b, _ in pairs], _SLOTS)
-        return [_EMPTY if i < 0 else ((pairs[i][0] << 32) | (pairs[i][1] << 16) | pairs[i][2]) for i in at]
+                    rows.setdefault(a, []).append((b, rank))
+        width = _EDGE + 1
+        entries, shifts = np.full(2 * width, _EMPTY), np.zeros(width, np.int64)
+        free_from = 0
+        for a in sorted(rows, key=lambda a: (-len(rows[a]), a)):
+            at = np.array([b for b, _ in rows[a]])
+            shift = max(0, free_from - int(at.min()))
+            while True:
+                if shift + width > len(entries):
+                    entries = np.concatenate([entries, np.full(len(entries), _EMPTY)])
+                if (entries[shift + at] == _EMPTY).all():
+                    break
+                shift += 1
+            entries[shift + at] = (a << 16) | np.array([r for _, r in rows[a]])
+            shifts[a] = shift
+            while entries[free_from] != _EMPTY:
+                free_from += 1
+        return entries[: int(shifts.max()) + width].tolist(), shifts.tolist()
 
     def byte_ids(self) -> list[int]:
         return [self.ranks[bytes([b])] for b in range(256)]
@@ -102,11 +116,10 @@ def constant(spark: SparkSession, value: object, kind: str) -> Column:
     return spark.createDataFrame([(value,)], f"v {kind}").scalar()
 
 
-def pair_rank(table: Column, a: Column, b: Column) -> Column:
-    """The pair's rank, or _NONE: whatever else a slot holds differs above the lowest 16 bits."""
-    key = a * F.lit(1 << 32) + b * F.lit(1 << 16)
-    slots = (F.get(table, (a * F.lit(s[0]) + b * F.lit(s[1])) % F.lit(_SLOTS)).bitwiseXOR(key) for s in _STEPS)
-    return F.least(*slots, F.lit(_NONE))
+def pair_rank(tables: Column, a: Column, b: Column) -> Column:
+    """The pair's rank, or _NONE: whatever else the entry holds differs above the lowest 16 bits."""
+    entry = F.get(tables["pairs"], F.get(tables["shifts"], a) + b)
+    return F.least(entry.bitwiseXOR(F.shiftleft(a, 16)), F.lit(_NONE))
 
 
 def let(value: Column, f) -> Column:
@@ -114,7 +127,7 @@ def let(value: Column, f) -> Column:
     return F.get(F.transform(F.array(value), f), 0)
 
 
-def fold_merges(piece: Column, table: Column, byte_ids: Column) -> Column:
+def fold_merges(piece: Column, tables: Column) -> Column:
     """The ids (array of bigint) of one piece of text.
 
     The state is one array of numbers: the rank of the pair that an id begins, the id's place in the piece, the id. Its
@@ -122,7 +135,7 @@ def fold_merges(piece: Column, table: Column, byte_ids: Column) -> Column:
     """
     edge = F.array(F.lit(_EDGE).cast("bigint"))
     single = F.split(F.decode(F.encode(piece, "UTF-8"), "ISO-8859-1"), "")
-    ids = F.concat(edge, F.transform(single, lambda c: F.get(byte_ids, F.ascii(c))), edge)
+    ids = F.concat(edge, F.transform(single, lambda c: F.get(tables["bytes"], F.ascii(c))), edge)
 
     def id_of(packed: Column) -> Column:
         return packed.bitwiseAND(F.lit(_ID))
@@ -131,7 +144,7 @@ def fold_merges(piece: Column, table: Column, byte_ids: Column) -> Column:
         return F.shiftleft(rank, _AT_RANK).bitwiseOR(packed)
 
     def start(ids: Column) -> Column:
-        return F.transform(ids, lambda a, i: with_rank(F.shiftleft(i.cast("bigint"), _AT_PLACE).bitwiseOR(a), pair_rank(table, a, F.coalesce(F.get(ids, i + 1), F.lit(_EDGE)))))
+        return F.transform(ids, lambda a, i: with_rank(F.shiftleft(i.cast("bigint"), _AT_PLACE).bitwiseOR(a), pair_rank(tables, a, F.coalesce(F.get(ids, i + 1), F.lit(_EDGE)))))
 
     def merge(state: Column, least: Column) -> Column:
         def at(i: Column) -> Column:  # of the pair's first id, from 1; the edges never merge
@@ -139,8 +152,8 @@ def fold_merges(piece: Column, table: Column, byte_ids: Column) -> Column:
             return F.concat(
                 F.slice(state, 1, i - 2),
                 F.array(
-                    with_rank(before.bitwiseAND(F.lit(_PLACE_AND_ID)), pair_rank(table, id_of(before), new)),
-                    with_rank(least.bitwiseAND(F.lit(_PLACE)).bitwiseOR(new), pair_rank(table, new, id_of(F.get(state, i + 1)))),
+                    with_rank(before.bitwiseAND(F.lit(_PLACE_AND_ID)), pair_rank(tables, id_of(before), new)),
+                    with_rank(least.bitwiseAND(F.lit(_PLACE)).bitwiseOR(new), pair_rank(tables, new, id_of(F.get(state, i + 1)))),
                 ),
                 F.slice(state, i + 2, F.size(state)),
             )
@@ -169,8 +182,10 @@ class Codec:
     def __init__(self, spark: SparkSession, path: str):
         v = vocabulary(path)
         self.spark = spark
+        pairs, shifts = v.pair_table()
         self.tables = {
-            "table": constant(spark, v.pair_table(), "array<bigint>"),
+            "pairs": constant(spark, pairs, "array<bigint>"),
+            "shifts": constant(spark, shifts, "array<bigint>"),
             "bytes": constant(spark, v.byte_ids(), "array<bigint>"),
             "ids_hex": constant(spark, [i.to_bytes(4, "little").hex() for i in range(len(v.pieces_hex()))], "array<string>"),
             "pieces_hex": constant(spark, v.pieces_hex(), "array<string>"),
@@ -196,7 +211,7 @@ class Codec:
         self.memo_size = (2 * MEMO_PIECES) | 1
         one, two = self._slots(F.col("w"))
         needs, kind = (["ids_hex", "pieces_hex"], _HEXED) if digests else ([], "array<bigint>")
-        folded = self.apply(top, "t", ["table", "bytes", *needs], lambda e: self._hexed(F.col("w"), e) if digests else self._piece_ids(F.col("w"), e))
+        folded = self.apply(top, "t", ["pairs", "shifts", "bytes", *needs], lambda e: self._hexed(F.col("w"), e) if digests else self._piece_ids(F.col("w"), e))
         rows = folded.select("w", "t", one.alias("a"), two.alias("b")).toArrow().to_pydict()
         if rows["w"]:
             at = two_slots(list(zip(rows["a"], rows["b"], strict=True)), self.memo_size)
@@ -211,7 +226,7 @@ class Codec:
         return F.when(a["w"] == w, a["t"]).when(b["w"] == w, b["t"]).otherwise(otherwise)
 
     def _piece_ids(self, w: Column, e: Column) -> Column:
-        return self._known("memo", w, e, fold_merges(w, e["table"], e["bytes"]))
+        return self._known("memo", w, e, fold_merges(w, e))
 
     def _hexed(self, w: Column, e: Column) -> Column:
         """A piece's ids as hexadecimal text, and the bytes that the ids stand for likewise."""
@@ -224,7 +239,7 @@ class Codec:
 
     def encode(self, df: DataFrame, text_col: str = "text", name: str = "token_ids") -> DataFrame:
         """Add the ids of a text (array of bigint); none for null."""
-        return self.apply(df, name, ["table", "bytes", "memo"], lambda e: F.flatten(F.transform(pieces(F.col(text_col)), lambda w: self._piece_ids(w, e))))
+        return self.apply(df, name, ["pairs", "shifts", "bytes", "memo"], lambda e: F.flatten(F.transform(pieces(F.col(text_col)), lambda w: self._piece_ids(w, e))))
 
     def decode(self, df: DataFrame, ids_col: str = "token_ids", name: str = "decoded") -> DataFrame:
         """Add the bytes that the ids stand for."""
@@ -245,7 +260,7 @@ class Codec:
                 ),
             )
 
-        names = ["table", "bytes", "memo", "memo_hex", "ids_hex", "pieces_hex"]
+        names = ["pairs", "shifts", "bytes", "memo", "memo_hex", "ids_hex", "pieces_hex"]
         return self.apply(df, name, names, lambda e: let(F.transform(pieces(F.col(text_col)), lambda w: self._hexed(w, e)), of))
 
 
