@@ -381,6 +381,52 @@ def test_span_dedup_is_brute_force(spark):
     assert sorted(r.n_removed for r in twice.collect()) == [0, 0, 0]
 
 
+def brute_passages(texts, size=51):
+    """Which words of each text lie in a run of ``size`` words that an earlier text has, or an earlier place in it if no two of its places there overlap."""
+    seen, gone = set(), []
+    for t in texts:
+        w = re.sub("[A-Z]", lambda m: m[0].lower(), t or "").split()
+        places = {}
+        for i in range(len(w) - size + 1):
+            places.setdefault(tuple(w[i : i + size]), []).append(i)
+        mask = [False] * len(w)
+        for r, at in places.items():
+            apart = all(j - i >= size for i, j in zip(at, at[1:]))
+            for i in at if r in seen else at[1:] if apart else ():
+                mask[i : i + size] = [True] * size
+        seen |= set(places)
+        gone.append(mask)
+    return gone
+
+
+def test_passages_within_sentences_are_brute_force(spark):
+    rng = random.Random(14)
+    long = [words(rng, n, 5000) for n in (51, 60, 75, 130, 300)]
+    two = words(rng, 30, 5000)
+    two[-1] += "."
+    two += words(rng, 31, 5000)
+    texts = []
+    for k in range(60):  # at other offsets within a sentence each time; 50 words of a passage are too few
+        p = (*long, two, long[0][:50])[k % 7]
+        texts.append(" ".join([*words(rng, rng.randrange(45), 5000), *p, *words(rng, rng.randrange(45), 5000)]) + ".")
+    part = long[4]
+    texts += [" ".join(words(rng, 7, 5000) + part[a : a + n]) for a, n in ((3, 51), (100, 50), (140, 80), (249, 51))]
+    texts += [" ".join(part + words(rng, 5, 5000) + part), *ODD]
+    gone = brute_passages(texts)
+    got = span_dedup.remove_repeats(docs_of(spark, texts).repartition(3)).toPandas().set_index("doc_id").sort_index()
+    for k, t in enumerate(texts):
+        if not any(gone[k]):
+            assert k >= 60 or got.text[k] == t
+            continue
+        left = [w for w, g in zip(t.split(), gone[k]) if not g]
+        # spans of sentences may remove more, never less
+        assert len(got.text[k].split()) <= len(left) and got.n_removed[k] > 0
+        if k < 60:
+            assert got.text[k].split() == left
+    assert sum(map(any, gone)) > 45
+    assert (got.n_removed[[k for k in range(60) if k % 7 == 6]] == 0).all()
+
+
 # -- 10
 
 
