@@ -33,7 +33,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    return decontaminate.remove_leaks(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+    return decontaminate.remove_leaks(docs, table(spark, sf_dir, "benchmark"), any_case=True).select(*docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,9 @@ Numbers, names and units become typed placeholders, so that a question asked aga
 parameters has the same template. Windows of WINDOW tokens of both templates are joined by hash;
 matches on one diagonal (document place less item place) are one aligned copy, and its slots must be
 consistent: each value of the item stands for one value of the document throughout.
+
+What is a name shows by its capital, which a copy in another case lacks. Texts can therefore be read
+without names as well: copies are searched in each reading, so that names only add to what is found.
 """
 
 from __future__ import annotations
@@ -33,10 +36,10 @@ _UNIT = r"(?<= 0 {1,2})(?:" + "|".join(sorted(UNITS, key=lambda u: (-len(u), u))
 _SLOT = r"(?<![^ ])[012](?![^ ])"
 
 
-def template(text: Column) -> Column:
-    """Canonical tokens separated by single spaces, one for each token of ``tokens``: lower-case words, or 0 for a number, 1 for a unit, 2 for a name."""
+def template(text: Column, names: bool = True) -> Column:
+    """Canonical tokens separated by single spaces, one for each token of ``tokens``: lower-case words, or 0 for a number, 1 for a unit, 2 for a name (with ``names``)."""
     out = F.regexp_replace(text, _NUMBER, " 0 ")
-    out = F.lower(F.regexp_replace(out, _NAME, " 2 "))
+    out = F.lower(F.regexp_replace(out, _NAME, " 2 ") if names else out)
     out = F.regexp_replace(out, _UNIT, " 1 ")
     return F.trim(F.regexp_replace(out, r"[^\p{L}\p{M}012]+", " "))
 
@@ -45,42 +48,51 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
 
 
-def windows(text: Column) -> Column:
+def windows(text: Column, names: bool = True) -> Column:
     """Every run of WINDOW canonical tokens, by the place of its first."""
-    return F.regexp_extract_all(template(text), F.lit(rf"(?<![^ ])(?=([^ ]+(?: [^ ]+){{{WINDOW - 1}}}))[^ ]+"), F.lit(1))
+    return F.regexp_extract_all(template(text, names), F.lit(rf"(?<![^ ])(?=([^ ]+(?: [^ ]+){{{WINDOW - 1}}}))[^ ]+"), F.lit(1))
+
+
+def read_windows(df: DataFrame, text: str, at: str, any_case: bool) -> DataFrame:
+    """``df`` with a row for each window: its place, w, and the readings that have it (1 with names, 2 without, 3 both)."""
+    if not any_case:
+        return df.select("*", F.posexplode(windows(F.col(text))).alias(at, "w")).withColumn("reading", F.lit(1))
+    both = df.select("*", F.posexplode(F.arrays_zip(windows(F.col(text)).alias("a"), windows(F.col(text), False).alias("b"))).alias(at, "_both"))
+    a, b = (F.struct(F.col("_both")[k].alias("w"), F.lit(r).alias("reading")) for k, r in (("a", 1), ("b", 2)))
+    same = F.struct(F.col("_both")["a"].alias("w"), F.lit(3).alias("reading"))
+    return both.select("*", F.inline(F.when(F.col("_both")["a"] == F.col("_both")["b"], F.array(same)).otherwise(F.array(a, b)))).drop("_both")
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", any_case: bool = False) -> DataFrame:
     """The contaminated pairs (doc_id, item_id) with matching windows, their share of the item's, slots and changed slots of the best copy.
 
     Null and empty texts, and those of fewer than WINDOW tokens, match nothing, on either side. Rows
     that repeat an id are one document, or one item. Empty tables give an empty result. Other columns
-    are not read. The benchmark's windows are broadcast if they are few; beyond BROADCAST_ROWS the
+    are not read. With ``any_case`` copies in another case are found too. The benchmark's windows are broadcast if they are few; beyond BROADCAST_ROWS the
     join shuffles by hash.
     """
     items = (
-        benchmark.select(benchmark["item_id"].alias("item_id"), benchmark["text"].alias("item_text"))
-        .select("item_id", "item_text", F.posexplode(windows(F.col("item_text"))).alias("item_at", "w"))
+        read_windows(benchmark.select(benchmark["item_id"].alias("item_id"), benchmark["text"].alias("item_text")), "item_text", "item_at", any_case)
+        .withColumnRenamed("reading", "item_reading")
         .where(F.size(F.split(F.regexp_replace("w", _SLOT + " ?", ""), " ")) >= LITERALS)
         .withColumn("item_slots", F.when(F.col("w").rlike(_SLOT), F.slice(tokens(F.col("item_text")), F.col("item_at") + 1, WINDOW)))
         .drop("item_text")
-        .dropDuplicates(["item_id", "item_at", "w"])
+        .dropDuplicates(["item_id", "item_at", "w", "item_reading"])
     )
     # Written once: it is read three times, and its filter would be inferred for the documents' windows too.
     items = materialize(items, "benchmark-windows")
-    sizes = items.groupBy("item_id").agg(F.countDistinct("item_at").alias("n_item"))
+    readings = F.explode(F.filter(F.array(F.lit(1), F.lit(2)), lambda r: F.col("readings").bitwiseAND(r) != 0)).alias("reading")
+    sizes = items.select("item_id", "item_at", F.col("item_reading").alias("readings")).select("item_id", "item_at", readings).groupBy("item_id", "reading").agg(F.countDistinct("item_at").alias("n_item"))
     items = items.withColumn("h", F.xxhash64("w"))
     few = items.count() <= BROADCAST_ROWS
     if few:
         items = F.broadcast(items)
     found = (
-        docs.where(F.col(text_col).isNotNull())
-        .select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-        .select("doc_id", "text", F.posexplode(windows(F.col("text"))).alias("at", "w"))
+        read_windows(docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text", "at", any_case)
         .withColumn("h", F.xxhash64("w"))
         .join(items, ["h", "w"])
         .select(
-            "doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal"), "item_at", "w", "item_slots",
+            "doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal"), "item_at", "w", "item_slots", F.col("reading").bitwiseAND(F.col("item_reading")).alias("readings"),
             F.when(F.col("item_slots").isNotNull(), F.slice(tokens(F.col("text")), F.col("at") + 1, WINDOW)).alias("slots"),
         )
     )
@@ -93,26 +105,29 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         ),
     )
     copies = (
-        found.select("doc_id", "item_id", "diagonal", "item_at", filled.alias("filled"))
-        .groupBy("doc_id", "item_id", "diagonal")
+        found.select("doc_id", "item_id", "diagonal", "item_at", filled.alias("filled"), readings)
+        .groupBy("doc_id", "item_id", "diagonal", "reading")
         .agg(F.countDistinct("item_at").alias("n_windows"), F.array_distinct(F.flatten(F.collect_set("filled"))).alias("slots"))
     )
     consistent = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["kind"], s["was"]))))
     good = (
         copies.where(consistent)
-        .join(F.broadcast(sizes) if few else sizes, "item_id")
+        .join(F.broadcast(sizes) if few else sizes, ["item_id", "reading"])
         .where(F.col("n_windows") >= F.least(F.lit(MATCHES), "n_item"))
         .withColumn("changed", F.size(F.filter("slots", lambda s: s["was"] != s["now"])))
     )
-    return good.groupBy("doc_id", "item_id").agg(
+    best = good.groupBy("doc_id", "item_id", "reading").agg(
         F.max("n_windows").cast("long").alias("n_windows"),
         F.max(F.round(F.col("n_windows") / F.col("n_item"), 6)).alias("share"),
         F.max(F.size("slots")).cast("long").alias("n_slots"),
         F.min("changed").cast("long").alias("n_changed"),
     )
+    # of the readings the one with most windows, then most slots
+    row = F.max_by(F.struct("n_windows", "share", "n_slots", "n_changed"), F.struct("n_windows", "n_slots"))
+    return best.groupBy("doc_id", "item_id").agg(row.alias("best")).select("doc_id", "item_id", "best.*")
 
 
-def remove_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", any_case: bool = False) -> DataFrame:
     """``docs`` without the contaminated documents; rows with a null id are never equal to one and stay."""
-    bad = leaks(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias(id_col)).distinct()
+    bad = leaks(docs, benchmark, id_col, text_col, any_case).select(F.col("doc_id").alias(id_col)).distinct()
     return docs.join(bad, id_col, "left_anti")

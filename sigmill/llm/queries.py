@@ -25,7 +25,7 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), any_case=True)
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -139,6 +139,18 @@ def test_decontamination_finds_new_parameters(spark):
     assert decontaminate.leaks(docs_of(spark, texts), bench.limit(0)).count() == 0
 
 
+def test_decontamination_in_any_case(spark):
+    item = "A train with 3 wagons leaves Paris at noon and travels 120 km in 2 hours before meeting Anna and her 3 friends near Paris again today."
+    short = "What is the name of the longest river in southern Africa?"
+    texts = [item, item.upper(), item.lower(), item.title(), short.upper(), f"Question: {short}", f"A heading\n{short}", item.upper().replace("3 F", "9 F"), item.replace("Paris", "London"), *ODD]
+    bench = spark.createDataFrame([(1, item), (2, short)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.leaks(docs_of(spark, texts), bench, any_case=True).collect()}
+    assert set(got) == {(0, 1), (1, 1), (2, 1), (3, 1), (4, 2), (5, 2), (6, 2), (8, 1)}
+    assert all(got[k, 1].n_changed == 0 for k in range(4)) and got[8, 1].n_changed == 1
+    assert all(got[k].share == 1 for k in ((0, 1), (1, 1), (4, 2), (5, 2), (6, 2)))
+    assert decontaminate.remove_leaks(docs_of(spark, texts), bench, any_case=True).count() == len(texts) - 8
+
+
 def test_decontamination_keeps_token_counts(spark):
     rng = random.Random(5)
     alphabet = "ab Z9 .,'-%$é İ5km\n12.5 Tom's"
