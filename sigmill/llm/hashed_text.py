@@ -127,7 +127,7 @@ def text_features(text: str | None, buckets: int, grams: Grams) -> tuple[np.ndar
 class Sample:
     """Texts as rows of (bucket, count of the feature), what a count of one is worth in each, and the labels.
 
-    Kept as narrow as they come: three bytes for a feature of up to 65,536 buckets.
+    Kept as narrow as they come: three bytes for a feature of up to 65,536 buckets. A count beyond 255 takes several entries of one bucket, whose shares add up.
     """
 
     starts: np.ndarray
@@ -150,7 +150,7 @@ class Sample:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, use: Column, rows: int, buckets: int, grams: Grams, prior: float = 0.0, prepare: Callable | None = None) -> Sample:
     """At most ``rows`` labelled documents with ``use``, those with the smallest hashed ids, as hashed features.
 
-    ``prior`` is added to a text's number of features when their shares are taken. Only the hashed features come to the driver: 3 bytes for each distinct feature of a text (counts beyond 255 are 255).
+    ``prior`` is added to a text's number of features when their shares are taken. Only the hashed features come to the driver: 3 bytes for each distinct feature of a text and for each further 255 of its count.
     """
     rated = (
         labels.select(labels["doc_id"].alias("doc_id"), labels[label].cast("double").alias("label"))
@@ -167,8 +167,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, use: Column,
             ids, counts = [], []
             for text in batch.column(1).to_pylist():
                 k, n = text_features(prepare(text) if prepare else text, buckets, grams)
-                ids.append(k.astype(kind_of_id).tobytes())
-                counts.append(np.minimum(n, 255).astype(np.uint8).tobytes())
+                parts = -(-n // 255)
+                each = np.full(int(parts.sum()), 255, np.uint8)
+                each[np.cumsum(parts) - 1] = n - 255 * (parts - 1)
+                ids.append(np.repeat(k, parts).astype(kind_of_id).tobytes())
+                counts.append(each.tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(ids, pa.binary()), pa.array(counts, pa.binary())], names=["doc_id", "label", "ids", "counts"]
             )

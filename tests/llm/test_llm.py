@@ -253,6 +253,16 @@ def test_ordinal_grades():
     assert (quality.predict(["x"], one) == 1).all()
 
 
+def test_sample_has_whole_counts(spark):
+    texts = ["ab cd " * 20_000, "one two three", "", "x" * 300]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(4)], "doc_id long, quality int")
+    got = hashed_text.labelled_sample(docs_of(spark, texts), labels, "quality", F.lit(True), 10, quality.BUCKETS, hashed_text.style_grams)
+    for k, t in enumerate(texts):
+        ids, counts = hashed_text.text_features(t, quality.BUCKETS, hashed_text.style_grams)
+        at = slice(got.starts[k], got.starts[k + 1])
+        assert np.array_equal(np.bincount(got.ids[at], got.counts[at], quality.BUCKETS), np.bincount(ids, counts, quality.BUCKETS)) and np.isclose(got.unit[k], 1 / counts.sum())
+
+
 def held_out_rows(spark, query, sf):
     out = QUERIES_BY_NAME[query](spark, sf).toPandas().merge(spark.read.parquet(f"{sf}/labels.parquet").toPandas().drop_duplicates("doc_id"), on="doc_id")
     return out[out.held_out]
