@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import struct
+import time
 from itertools import combinations
 
 import numpy as np
@@ -349,6 +350,36 @@ def test_bpe_is_tiktoken(spark):
     assert byte_bpe.round_trip(docs_of(spark, []), vocabulary_path()).count() == 0
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"])
+def test_bpe_words_of_any_length(spark, name):
+    import public_tokenizers as P
+    import tiktoken
+
+    began = time.time()
+    byte_bpe.Vocabulary(byte_bpe.read_ranks(P.path(name)))
+    assert time.time() - began < 10
+    rng = random.Random(4)
+    texts = ["a" * 4097, "".join(rng.choice("abcdefghijklmnop") for _ in range(60_000)), "日本" * 3000, "!?" * 999 + "'s", "\n" * 500 + " x", "12345678901234567890" * 40, " \x1c\x85\u3000x"]
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=byte_bpe.vocabulary(P.path(name)).ranks, special_tokens={})
+    codec = byte_bpe.Codec(spark, P.path(name))
+    got = codec.decode(codec.encode(docs_of(spark, texts))).collect()
+    assert all(r.token_ids == enc.encode_ordinary(texts[r.doc_id]) and bytes(r.decoded).decode() == texts[r.doc_id] for r in got) and len(got) == len(texts)
+
+
+def test_bpe_splits_as_the_pattern():
+    import public_tokenizers as P
+    import regex
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("ab 'sretvlmd .!\n\t  é日9½\x1c\x85'") for _ in range(rng.randrange(40))) for _ in range(5000)] + ["", "'", "'s", "'ll x", "it's' 're "]
+    data, offsets = np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0, *(len(t.encode()) for t in texts)])
+    starts, text = byte_bpe.split_words(data, offsets)
+    got = [[] for _ in texts]
+    for a, b, k in zip(starts[:-1], starts[1:], text):
+        got[k].append(data[a:b].tobytes().decode())
+    assert got == [regex.findall(P.PATTERN, t) for t in texts]
+
+
 # -- 9
 
 
