@@ -35,6 +35,9 @@ from .common import _BASE, _BASE_INVERSE, _power, mix64, schema_with, span_hashe
 #: Documents whose words fill the memo (about), its most words, and the longest of them in bytes.
 MEMO_DOCS, MEMO_WORDS, MEMO_BYTES = 20_000, 200_000, 64
 
+#: Bytes of text, or of codes, that a task's array operations handle at once: four Python processes share an executor.
+RUN_BYTES = 1 << 18
+
 # What the vocabulary's splitting pattern calls a contraction, after an apostrophe.
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 
@@ -349,7 +352,7 @@ def _split(tables, memo, at: int, keep: list[int], names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, m = tables.value, memo.value
         for batch in batches:
-            for i, j, data, offsets in text_chunks(batch.column(at)):
+            for i, j, data, offsets in text_chunks(batch.column(at), RUN_BYTES):
                 starts, text = split_words(data, offsets)
                 hashes = word_hashes(data, starts[:-1], starts[1:])
                 codes = m.find(hashes)
@@ -398,12 +401,12 @@ def _offsets(a: pa.Array) -> np.ndarray:
 
 
 def _parts(batch: pa.RecordBatch, n: int) -> Iterator[pa.RecordBatch]:
-    """Runs of rows with about a million words."""
+    """Runs of rows with about RUN_BYTES of codes."""
     sizes = np.cumsum(np.diff(_offsets(batch.column(n))))
     i = 0
     while i < batch.num_rows:
         done = sizes[i - 1] if i else 0
-        j = max(i + 1, int(np.searchsorted(sizes, done + (1 << 22))))
+        j = max(i + 1, int(np.searchsorted(sizes, done + RUN_BYTES)))
         yield batch.slice(i, j - i)
         i = j
 
@@ -441,7 +444,7 @@ def _digests(tables, memo, n: int, names: list[str]):
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words of each run of texts with their numbers."""
     for batch in batches:
-        for _, _, data, offsets in text_chunks(batch.column(0)):
+        for _, _, data, offsets in text_chunks(batch.column(0), RUN_BYTES):
             starts, _ = split_words(data, offsets)
             words = pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, pa.py_buffer(starts.astype(np.int32)), pa.py_buffer(data)])
             counted = words.value_counts()

@@ -123,7 +123,7 @@ def _power(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64."""
     key = str(base)
     if key not in _powers or len(_powers[key]) < n:
-        size = max(n, 4 * CHUNK_BYTES)
+        size = 1 << max(18, (n - 1).bit_length())
         p = np.full(size, base, np.uint64)
         p[0] = 1
         _powers[key] = np.cumprod(p, dtype=np.uint64)
