@@ -229,6 +229,17 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     )
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before those that columns of ``df`` have."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n = "_" + n
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def schema_with(df: DataFrame, **added: str) -> T.StructType:
     """The schema of ``df`` with further columns."""
     return T.StructType([*df.schema.fields, *(T.StructField(k, T._parse_datatype_string(v)) for k, v in added.items())])
