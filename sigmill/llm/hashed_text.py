@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 
 from .common import CHUNK_BYTES, bounded_sample, mix64, window_hashes
 
-#: Code points that the lookup tables cover; those above are word characters without a case.
-_TABLE = 1 << 16
+_POINTS = 0x110000
 
 
 def _one(c: int, f: Callable[[str], str]) -> int:
@@ -23,10 +22,11 @@ def _one(c: int, f: Callable[[str], str]) -> int:
     return ord(to) if len(to) == 1 else c
 
 
-LOWER = np.array([_one(c, str.lower) for c in range(_TABLE)], np.uint32)
-IS_WORD = np.array([chr(c).isalnum() for c in range(_TABLE)])
-IS_LETTER = np.array([chr(c).isalpha() for c in range(_TABLE)])
-IS_SPACE = np.array([chr(c).isspace() for c in range(_TABLE)])
+# By code point, all of Unicode.
+LOWER = np.array([_one(c, str.lower) for c in range(_POINTS)], np.uint32)
+IS_WORD = np.array([chr(c).isalnum() for c in range(_POINTS)])
+IS_LETTER = np.array([chr(c).isalpha() for c in range(_POINTS)])
+IS_SPACE = np.array([chr(c).isspace() for c in range(_POINTS)])
 
 
 def code_points(texts: list[str | None], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -44,18 +44,10 @@ def code_points(texts: list[str | None], limit: int = CHUNK_BYTES) -> Iterator[t
         i = j
 
 
-def mapped(points: np.ndarray, table: np.ndarray, above: object) -> np.ndarray:
-    out = table[np.minimum(points, _TABLE - 1)]
-    high = points >= _TABLE
-    if high.any():
-        out = np.where(high, points if above is None else above, out)
-    return out
-
-
 def subword_grams(points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(position, hash) of the character 3- to 5-grams of the lower-case words, whose ends are marked, and of the whole words."""
-    low = mapped(points, LOWER, None)
-    word = mapped(points, IS_WORD, True)
+    low = LOWER[points]
+    word = IS_WORD[points]
     symbols = np.where(word, low, 1).astype(np.uint64)
     inside = np.cumsum(~word)
     for n in (3, 4, 5):
@@ -73,11 +65,12 @@ def subword_grams(points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]
 
 
 def style_grams(points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(position, hash) of case-sensitive character 1- to 3-grams, punctuation and all, and a mark where a word repeats the one before it."""
-    space = mapped(points, IS_SPACE, False)
+    """(position, hash) of 1- to 3-grams of the kinds of characters (lower and upper case letters, white space; others stand for themselves), the
+    words' lengths, and a mark where a word repeats the one before it."""
+    space = IS_SPACE[points]
     # letters count by their case alone, so that style is learned rather than vocabulary
-    letter = mapped(points, IS_LETTER, True)
-    upper = letter & (mapped(points, LOWER, None) != points)
+    letter = IS_LETTER[points]
+    upper = letter & (LOWER[points] != points)
     symbols = np.where(space, 1, np.where(upper, 2, np.where(letter, 3, points))).astype(np.uint64)
     for n in (1, 2, 3):
         if len(symbols) >= n:
@@ -91,6 +84,26 @@ def style_grams(points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     yield starts, mix64((ends - starts).astype(np.uint64) // np.uint64(4))
 
 
+def word_grams(points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``style_grams``, and what the text says: each word in lower case, each two in a row, and the 4-grams of their letters."""
+    yield from style_grams(points)
+    word = IS_WORD[points]
+    low = np.where(word, LOWER[points], 1).astype(np.uint64)
+    starts = np.flatnonzero(word[1:] & ~word[:-1]) + 1
+    ends = np.flatnonzero(~word[1:] & word[:-1]) + 1
+    order = (np.arange(len(low), dtype=np.uint64) * np.uint64(2)) + np.uint64(1)
+    sums, flat = (np.concatenate([[np.uint64(0)], np.cumsum(x)]) for x in (mix64(low) * order, mix64(low)))
+    words = mix64(sums[ends] - sums[starts] - (flat[ends] - flat[starts]) * (starts.astype(np.uint64) * np.uint64(2)) + np.uint64(17))
+    yield starts, words
+    if len(words) > 1:
+        joined = np.add.reduceat(points == 10, starts)[:-1] == 0  # no line feed between: a text's last word is not next to another text's first
+        yield starts[1:][joined], mix64(words[:-1] * np.uint64(3) + words[1:])[joined]
+    if len(low) >= 4:
+        inside = np.cumsum(~word)
+        k = np.flatnonzero(inside[3:] == np.concatenate([[0], inside[:-4]])) if len(low) > 4 else np.zeros(0, np.int64)
+        yield k, window_hashes(low, 4)[k] + np.uint64(19)
+
+
 Grams = Callable[[np.ndarray], Iterator[tuple[np.ndarray, np.ndarray]]]
 
 

@@ -300,18 +300,34 @@ def test_cross_parsing_is_a_plain_greedy_parse():
         s = s if re.search(r"[^\W\d_]", t or "") else ""
         assert n == len(s)
         for k, sample in enumerate(samples.values()):
-            k_phrases = 0
-            for at in range(0, len(s), language.RUN):
-                run, i = s[at : at + language.RUN], 0
-                while i < len(run):
-                    j = i + 1
-                    while j <= len(run) and run[i:j] in sample:
-                        j += 1
-                    i = max(j - 1, i + 1)
-                    k_phrases += 1
+            k_phrases = i = 0
+            while i < len(s):
+                j = i + 1
+                while j <= len(s) and s[i:j] in sample:
+                    j += 1
+                i = max(j - 1, i + 1)
+                k_phrases += 1
             assert c[k] == k_phrases
-    best, score = language.predict([None, "", "..12"], m)
-    assert best == ["und"] * 3 and (score == 0).all()
+    best, score = language.predict([None, "", "..12", "🎉🎉", "١٢ 🎉", "\U0001d7ce"], m)
+    assert best == ["und"] * 6 and (score == 0).all()
+    assert language.predict(["\U00010400"], m)[0] != ["und"]  # a letter beyond 16 bits
+
+
+def test_more_languages_than_a_few(spark):
+    rng = random.Random(6)
+    letters = {f"l{k:02}": [chr(0x4E00 + 20 * k + i) for i in range(20)] for k in range(80)}
+    say = lambda k: "".join(rng.choice([*letters[k], " "]) for _ in range(120))
+    rows = [(i, say(f"l{i % 80:02}"), f"l{i % 80:02}") for i in range(800)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language.language_id(d).collect()
+    assert all(r.lang_pred == f"l{r.doc_id % 80:02}" for r in got) and len(got) == 800
+
+
+def test_languages_without_letters(spark):
+    texts = ["🎉🎉", "12 34", "...", None, "", "the word", "\U00010400\U00010401"]
+    rows = [(i, t, "en" if i == 5 else None) for i, t in enumerate(texts)] + [(10 + i, "the word and more of it", "en") for i in range(8)]
+    got = {r.doc_id: r.lang_pred for r in language.language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert [got[i] for i in range(7)] == ["und"] * 5 + ["en"] * 2
 
 
 def test_models_on_odd_tables(spark):
