@@ -78,17 +78,18 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     return train(labelled_sample(docs, labels, "toxic", ~held_out(), rows, BUCKETS, subword_grams, PRIOR, distinct_words))
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with score (double, 0 to 1) and predicted (int) appended.
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """``docs`` with two columns appended: the score (double, 0 to 1) and whether it reaches the threshold (int).
 
-    A null or empty text has no features and gets the score of the bias. Every row stays, repeated
-    ones too; all other columns pass; an empty table gives an empty result. Columns named score or
-    predicted are replaced.
+    A null or empty text has no features and gets the score of the bias. Very long texts are scored
+    whole. Every row stays, repeated ones too, and equal texts have equal scores; all other columns
+    pass, whatever their names; columns that have the two names are replaced, so callers that keep
+    such columns pass other names. An empty table gives an empty result.
     """
     weights, offset = model.weights().astype(np.float32), model.offset()
-    docs = docs.drop("score", "predicted")
+    docs = docs.drop(*names)
     at = docs.columns.index(text_col)
-    schema = schema_with(docs, score="double", predicted="int")
+    schema = schema_with(docs, **dict(zip(names, ("double", "int"), strict=True)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
