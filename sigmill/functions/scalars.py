@@ -76,13 +76,11 @@ def tenant_valid(tenant: Column) -> Column:
 
 
 def human_bytes(n: float | None) -> str:
+    """A size in the largest binary unit that leaves at least one."""
     if n is None:
         return "unknown"
-    for unit in ("B", "KiB", "MiB", "GiB"):
-        if n < 1024:
-            return f"{n:.1f} {unit}"
-        n /= 1024
-    return f"{n:.1f} TiB"
+    power = min(4, max(0, int(n).bit_length() - 1) // 10)
+    return f"{n / (1 << 10 * power):.1f} {('B', 'KiB', 'MiB', 'GiB', 'TiB')[power]}"
 
 
 def parse_pairs(text: str) -> dict[str, int]:

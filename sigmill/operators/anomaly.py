@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import math
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,6 +21,10 @@ class DetectorConfig:
     alpha: float = 0.3
     min_stddev: float = 0.05
 
+    def with_threshold(self, threshold: float) -> DetectorConfig:
+        """The same detector at another threshold: state does not depend on it, so past windows can be scored again."""
+        return replace(self, threshold=threshold)
+
     def __post_init__(self) -> None:
         if self.mode not in ("zscore", "ewma") or self.metric not in ("mean_score", "event_rate"):
             raise ValueError(f"unknown mode or metric: {self.mode}, {self.metric}")
@@ -83,27 +88,30 @@ def detect_zscore(stats: DataFrame, cfg: DetectorConfig) -> DataFrame:
     )
 
 
+def ewma_reach(alpha: float) -> int:
+    """So many windows back, a window's weight is below the least digit of a double."""
+    return 1 if alpha >= 1 else math.ceil(54 * math.log(2) / -math.log1p(-alpha))
+
+
 def detect_ewma(stats: DataFrame, cfg: DetectorConfig) -> DataFrame:
-    """Against an exponentially weighted mean and variance, an ordered fold over each key's windows."""
-    import pandas as pd
-
-    def fold(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("window_start")
-        baseline, sd, mean, var = [], [], 0.0, 0.0
-        for i, v in enumerate(frame["value"]):
-            baseline.append(mean)
-            sd.append(var**0.5)
-            if i == 0:
-                mean = v
-            else:
-                d = v - mean
-                var = (1 - cfg.alpha) * (var + cfg.alpha * d * d)
-                mean += cfg.alpha * d
-        return frame.assign(baseline=baseline, sd=sd, samples=range(len(frame)))
-
-    valued = stats.select("tenant_id", "entity_id", "window_start", "window_end", "n", metric(cfg).alias("value"))
-    schema = "tenant_id string, entity_id string, window_start long, window_end long, n long, value double, baseline double, sd double, samples long"
-    return _hits(valued.groupBy("tenant_id", "entity_id").applyInPandas(fold, schema), cfg)
+    """Against an exponentially weighted mean and variance, folded in the JVM over the frame of a key's last windows.
+
+    The frame ends where older windows no longer weigh anything in a double, so a task holds a bounded
+    number of values for any length of history.
+    """
+    key = Window.partitionBy("tenant_id", "entity_id").orderBy("window_start")
+    reach = ewma_reach(cfg.alpha)
+    frame = F.collect_list("value").over(key.rowsBetween(-reach, -1))
+    start = F.struct(F.get("_past", 0).alias("mean"), F.lit(0.0).alias("var"))
+
+    def fold(state: Column, value: Column) -> Column:
+        d = value - state["mean"]
+        return F.struct((state["mean"] + cfg.alpha * d).alias("mean"), ((1 - cfg.alpha) * (state["var"] + cfg.alpha * d * d)).alias("var"))
+
+    valued = stats.withColumn("value", metric(cfg)).withColumns({"_past": frame, "samples": (F.row_number().over(key) - 1).cast("long")})
+    late = valued.where(F.col("samples") >= cfg.min_samples)  # only these can be hits: the others are not folded
+    folded = late.withColumn("_s", F.aggregate(F.slice("_past", 2, reach), start, fold))
+    return _hits(folded.withColumns({"baseline": F.col("_s.mean"), "sd": F.sqrt("_s.var")}), cfg)
 
 
 def detect(stats: DataFrame, cfg: DetectorConfig) -> DataFrame:
