@@ -7,6 +7,8 @@ day as its newest rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,16 +28,23 @@ def newest(rows: DataFrame) -> DataFrame:
     return best.select(*KEY, "r.*").select(*rows.columns)
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """For a write by day: files follow the bytes (a day's rows are together up to the advisory partition size, and split beyond), sorted by key within."""
+    return rows.hint("rebalance", "day").sortWithinPartitions("day", "tenant_id", "entity_id")
+
+
 class ServingTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path, self.store = spark, path.rstrip("/"), Store(spark, path)
+        #: Called with the documents of every write, such as a cache's eviction.
+        self.listeners: list[Callable[[DataFrame], None]] = []
 
     def upsert(self, docs: DataFrame, updated_at: int, batch_id: int = 0) -> None:
         """Append ``docs`` as one batch; the same batch again replaces itself."""
         rows = docs.select(*DOCUMENT.names, F.lit(updated_at).cast("long").alias("updated_at"))
-        rows.repartition("day", F.pmod(F.xxhash64("tenant_id", "entity_id"), F.lit(8))).sortWithinPartitions("day", "tenant_id", "entity_id").write.mode(
-            "overwrite"
-        ).option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(f"{self.path}/batch_id={batch_id}")
+        _dealt(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(f"{self.path}/batch_id={batch_id}")
+        for keys in self.listeners:
+            keys(docs)
 
     def raw(self, days: list[str] | None = None) -> DataFrame:
         if not self.store.exists("") or not self.store.list(""):
@@ -57,7 +66,9 @@ class ServingTable:
         return self.read([day]).count()
 
     def partitions(self) -> DataFrame:
-        return self.raw().select("day").distinct().orderBy("day")
+        """The days that have rows: the folders say it, no row is read."""
+        days = {d.split("=", 1)[1] for b in self.store.list("") if b.startswith("batch_id=") for d in self.store.list(b) if d.startswith("day=")}
+        return self.spark.createDataFrame([(d,) for d in sorted(days)], "day string")
 
     def refresh_day(self, day: str) -> None:
         """Rewrite a day as its newest rows, in a batch of their own; the older batches' folders of the day go last."""
@@ -66,7 +77,7 @@ class ServingTable:
             return
         batch = max((int(b.split("=")[1]) for b in self.store.list("") if b.startswith("batch_id=")), default=0) + 1
         kept = self.read([day]).drop("batch_id")
-        kept.coalesce(1).sortWithinPartitions("tenant_id", "entity_id").write.mode("overwrite").partitionBy("day").parquet(f"{self.path}/batch_id={batch}")
+        _dealt(kept).write.mode("overwrite").partitionBy("day").parquet(f"{self.path}/batch_id={batch}")
         for b in old:
             self.store.delete(f"{b}/day={day}")
 

@@ -11,6 +11,7 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self._jvm, self.root = spark._jvm, root.rstrip("/")
         self._fs = self.path("").getFileSystem(spark._jsc.hadoopConfiguration())
+        self._context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), spark._jsc.hadoopConfiguration())
 
     def path(self, name: str):
         return self._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
@@ -33,18 +34,33 @@ class Store:
             stream.close()
 
     def create(self, name: str, text: str) -> bool:
-        """Write a new file; False if it is there already. The content appears at once under its name."""
+        """Write a new file; False if it is there already. It is written aside and renamed, so that it has all its
+        content from the moment it has its name, and a crash leaves no part of one."""
         if self.exists(name):
             return False
+        aside = self.path(f"{name.rsplit('/', 1)[0] + '/' if '/' in name else ''}.{uuid.uuid4().hex}.tmp")
+        stream = self._fs.create(aside, False)
+        stream.write(bytearray(text.encode()))
+        stream.close()
         try:
-            stream = self._fs.create(self.path(name), False)
+            # the context's rename fails if the name is taken; a plain rename may replace it
+            options = self._jvm.java.lang.reflect.Array.newInstance(self._jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), 0)
+            self._context.rename(aside, self.path(name), options)
+            return True
         except Exception as e:
+            self._fs.delete(aside, False)
             if "AlreadyExists" in str(e):
                 return False
             raise
+
+    def put(self, name: str, text: str) -> None:
+        """Write a file, in place of one that is there."""
+        stream = self._fs.create(self.path(name), True)
         stream.write(bytearray(text.encode()))
         stream.close()
-        return True
+
+    def make(self, name: str) -> None:
+        self._fs.mkdirs(self.path(name))
 
     def move(self, a: str, b: str) -> bool:
         return self._fs.rename(self.path(a), self.path(b))

@@ -7,6 +7,7 @@ fails and must write anew. Readers pass the manifest's schema, so that old files
 
 from __future__ import annotations
 
+import bisect
 import datetime as dt
 import json
 import time
@@ -52,16 +53,27 @@ class Lake:
             return self._manifest(version)
         if as_of is not None:
             at = int((as_of if as_of.tzinfo else as_of.replace(tzinfo=dt.timezone.utc)).timestamp() * 1000)
-            for v in reversed(versions):
-                if (m := self._manifest(v))["timestamp_ms"] <= at:
-                    return m
-            raise ValueError(f"no version is as old as {as_of}")
+            # every commit is later than the one before, so a few manifests are read
+            n = bisect.bisect_right(versions, at, key=lambda v: self._manifest(v)["timestamp_ms"])
+            if n == 0:
+                raise ValueError(f"no version is as old as {as_of}")
+            return self._manifest(versions[n - 1])
         return self._manifest(versions[-1]) if versions else None
 
     # -- write
-    def write(self, docs: DataFrame, mode: str = "append", merge_schema: bool = False, replace_where: str | None = None) -> int:
-        """Append, overwrite all, or replace one day; the number of rows, counted as they are written."""
+    def write(self, docs: DataFrame, mode: str = "append", merge_schema: bool = False, replace_where: str | None = None, batch: str | None = None) -> int:
+        """Append, overwrite all, or replace one day; the number of rows, counted as they are written.
+
+        ``batch`` (a stream's name, a dash and a growing number) is written once: the manifest keeps the
+        last number of each stream, and what is not above it has been committed before.
+        """
         last = self._at(None, None)
+        batches = dict(last.get("batches", {})) if last else {}
+        if batch is not None:
+            stream, number = batch.rsplit("-", 1)
+            if int(number) <= batches.get(stream, -1):
+                return 0
+            batches[stream] = int(number)
         schema = docs.schema
         if last:
             old = T.StructType.fromJson(last["schema"])
@@ -76,7 +88,8 @@ class Lake:
         folder = f"data/commit={version}-{uuid.uuid4().hex[:8]}"
         seen = Observation()
         counted = docs.observe(seen, F.count("*").alias("n"), F.sum(F.when(F.col(self.partition) == replace_where, 0).otherwise(1) if replace_where else F.lit(0)).alias("other"))
-        counted.repartition(self.partition, F.pmod(F.xxhash64(*docs.columns), F.lit(8))).write.partitionBy(self.partition).parquet(f"{self.path}/{folder}")
+        # a day's rows are together up to the advisory partition size, and split beyond
+        counted.hint("rebalance", self.partition).write.partitionBy(self.partition).parquet(f"{self.path}/{folder}")
         if replace_where and (seen.get["other"] or 0):
             self.store.delete(folder)
             raise ValueError(f"rows of other days than {replace_where}")
@@ -86,7 +99,7 @@ class Lake:
             live = [e for e in live if e[0] != replace_where]
         operation = "REPLACE" if replace_where else "WRITE" if mode == "append" else "OVERWRITE"
         stamp = max(int(time.time() * 1000), last["timestamp_ms"] + 1 if last else 0)
-        manifest = {"version": version, "timestamp_ms": stamp, "operation": operation, "numOutputRows": seen.get["n"], "schema": schema.jsonValue(), "live": live + added}
+        manifest = {"version": version, "timestamp_ms": stamp, "operation": operation, "numOutputRows": seen.get["n"], "schema": schema.jsonValue(), "live": live + added, "batches": batches}
         if not self.store.create(f"_log/{version:012d}.json", json.dumps(manifest)):
             self.store.delete(folder)
             raise Conflict(f"version {version} exists")
@@ -96,8 +109,11 @@ class Lake:
         return self.write(docs, replace_where=day)
 
     # -- read
-    def read(self, version: int | None = None, as_of: dt.datetime | None = None, day: str | None = None) -> DataFrame:
-        """The latest table, a version (which wins) or the newest at an instant; of one day, whose folders alone are read."""
+    def read(self, version: int | None = None, as_of: dt.datetime | None = None, day: str | None = None, newest_of: tuple[str, ...] = ()) -> DataFrame:
+        """The latest table, a version (which wins) or the newest at an instant; of one day, whose folders alone are read.
+
+        With ``newest_of`` each key has only the row that the last commit wrote: what a stream in update mode appends again.
+        """
         m = self._at(version, as_of)
         if m is None:
             raise ValueError(f"no table at {self.path}")
@@ -111,9 +127,13 @@ class Lake:
         full = T.StructType([*rest.fields, T.StructField(self.partition, T.StringType())])
         for base, paths in by_commit.items():
             part = self.spark.read.schema(full).option("basePath", f"{self.path}/{base}").parquet(*(f"{self.path}/{p}" for p in paths))
+            part = part.withColumn("_commit", F.lit(int(base.rsplit("commit=", 1)[1].split("-")[0])))
             out = part if out is None else out.unionByName(part)
         if out is None:
-            out = self.spark.createDataFrame([], full)
+            out = self.spark.createDataFrame([], full).withColumn("_commit", F.lit(0))
+        if newest_of:
+            kept = [n for n in schema.names if n not in newest_of]
+            out = out.groupBy(*newest_of).agg(F.max_by(F.struct(*kept), "_commit").alias("_r")).select(*newest_of, "_r.*")
         return out.select(*schema.names)
 
     def history(self, limit: int = 20) -> DataFrame:
@@ -129,6 +149,17 @@ class Lake:
         versions = self._versions()
         return self.commit(versions[-1]) if versions else None
 
-    def register(self, name: str) -> None:
-        """The latest version as a temporary view."""
-        self.read().createOrReplaceTempView(name)
+    def register(self, name: str, permanent: bool = False) -> None:
+        """The latest version as a temporary view, or as a view of the session's catalog over its folders, to be made anew after a commit."""
+        if not permanent:
+            self.read().createOrReplaceTempView(name)
+            return
+        m = self._at(None, None)
+        if m is None:
+            raise ValueError(f"no table at {self.path}")
+        schema = T.StructType.fromJson(m["schema"])
+        parts = [f"SELECT {', '.join(f'`{f.name}`' if f.name in self._columns(p) else f'CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`' for f in schema if f.name != self.partition)}, '{d}' AS `{self.partition}` FROM parquet.`{self.path}/{p}`" for d, p in m["live"]]
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {' UNION ALL '.join(parts)}" if parts else f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(f'CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`' for f in schema)} WHERE false")
+
+    def _columns(self, folder: str) -> list[str]:
+        return self.spark.read.parquet(f"{self.path}/{folder}").columns

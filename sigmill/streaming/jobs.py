@@ -3,21 +3,25 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery, StreamingQueryListener
 
 from ..functions.scalars import shift_day
 from ..model import EVENT, METRICS, WINDOW_STAT
 from ..operators import anomaly as A
-from ..operators.rollup import aggregate, dedup, to_documents, with_event_time
+from ..operators.rollup import as_documents, dedup, roll_up, with_event_time
 from ..operators.serving import ServingTable
 from ..operators.tenancy import Quota
+from ..sources.archive import append_batch
 from ..sources.fs import Store
 
+#: What a document in the lake is known by: ``Lake.read(newest_of=LAKE_KEY)`` has each as the last batch that touched it wrote it.
+LAKE_KEY = ("day", "tenant_id", "entity_id", "window_start")
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -26,10 +30,18 @@ def _start(writer, checkpoint: str, once: bool) -> StreamingQuery:
     return writer.trigger(availableNow=True).start() if once else writer.trigger(processingTime="10 seconds").start()
 
 
+def batch_name(checkpoint: str, batch_id: int) -> str:
+    """The name of a stream's batch, the same whenever it is run again."""
+    return f"b{zlib.crc32(checkpoint.encode()):08x}-{batch_id}"
+
+
 def archive_leg(events: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    """Events as they are into day folders; the file sink's log makes it exactly once."""
-    rows = with_event_time(events).select(*EVENT.names, "day")
-    return _start(rows.writeStream.format("parquet").partitionBy("day").option("path", path).outputMode("append"), checkpoint, once)
+    """Events as they are into day folders, each batch once; compaction and batch writes may share the folders."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_batch(batch, path, batch_name(checkpoint, batch_id))
+
+    return _start(events.writeStream.foreachBatch(write), checkpoint, once)
 
 
 def rollup_leg(events: DataFrame, serving: ServingTable, checkpoint: str, window: str = "1 day", watermark: str = "10 minutes", quota: Quota | None = None, once: bool = False, lake=None, keep_days: int = 3) -> StreamingQuery:
@@ -40,7 +52,7 @@ def rollup_leg(events: DataFrame, serving: ServingTable, checkpoint: str, window
     admitted_path = f"{serving.path}-admitted"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        docs = to_documents(batch)
+        docs = as_documents(batch)
         spark = docs.sparkSession
         if quota:
             store = Store(spark, admitted_path)
@@ -54,10 +66,10 @@ def rollup_leg(events: DataFrame, serving: ServingTable, checkpoint: str, window
             new.write.mode("overwrite").parquet(f"{admitted_path}/batch={batch_id}")
         serving.upsert(docs, batch_id + 1, batch_id)
         if lake is not None:
-            lake.write(docs)
+            lake.write(docs, batch=batch_name(checkpoint, batch_id))
         docs.unpersist()
 
-    rolled = aggregate(dedup(with_event_time(events), watermark), window)
+    rolled = roll_up(dedup(with_event_time(events), watermark), window)
     return _start(rolled.writeStream.outputMode("update").foreachBatch(write), checkpoint, once)
 
 
@@ -128,42 +140,68 @@ class LateLeg:
     """Events whose window had closed when they came.
 
     A batch's late filter uses the watermark of the batch before, that is the largest event time of
-    the batches up to two before it less the delay. The largest time of each batch is kept in a file
-    of its own, so that a batch that is run again finds the same.
+    the batches up to two before it less the delay. Each batch keeps the largest time up to itself in
+    a file of its own, so that one file is read for a batch, and a batch that is run again finds the same.
     """
 
     def __init__(self, spark: SparkSession, path: str, window_ms: int, lateness_ms: int):
         self.store, self.window_ms, self.lateness_ms = Store(spark, path), window_ms, lateness_ms
+        #: (servers, topic) to send late events to in place of files.
+        self.topic: tuple[str, str] | None = None
+
+    def _largest(self, batch_id: int) -> int | None:
+        """The largest time of the batches up to this one."""
+        while batch_id >= 0:
+            if self.store.exists(f"max/{batch_id}.json"):
+                return json.loads(self.store.read(f"max/{batch_id}.json"))["upto"]
+            batch_id -= 1  # a number without a batch
+        return None
 
     def watermark(self, batch_id: int) -> int | None:
-        seen = [json.loads(self.store.read(f"max/{n}"))["ts"] for n in self.store.list("max") if n.endswith(".json") and int(n[:-5]) <= batch_id - 2]
-        seen = [x for x in seen if x is not None]
-        return max(seen) - self.lateness_ms if seen else None
+        largest = self._largest(batch_id - 2)
+        return None if largest is None else largest - self.lateness_ms
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        most = batch.agg(F.max("ts")).first()[0]
-        self.store.create(f"max/{batch_id}.json", json.dumps({"ts": most}))
+        seen = [x for x in (batch.agg(F.max("ts")).first()[0], self._largest(batch_id - 1)) if x is not None]
+        self.store.create(f"max/{batch_id}.json", json.dumps({"upto": max(seen, default=None)}))
         mark = self.watermark(batch_id)
         end = (F.floor(F.col("ts") / self.window_ms) + 1) * self.window_ms
         late = batch.where(end <= mark) if mark is not None else batch.limit(0)
-        late.select(A.tenant_or_default().alias("tenant_id"), "entity_id", "ts").write.mode("overwrite").parquet(f"{self.store.root}/late/batch={batch_id}")
+        late = late.select(A.tenant_or_default().alias("tenant_id"), "entity_id", "ts")
+        if self.topic:
+            late_messages(late).write.format("kafka").option("kafka.bootstrap.servers", self.topic[0]).option("topic", self.topic[1]).save()
+        else:
+            late.write.mode("overwrite").parquet(f"{self.store.root}/late/batch={batch_id}")
 
     def start(self, events: DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
         return _start(events.writeStream.foreachBatch(self), checkpoint, once)
 
 
 def late_replay(events: DataFrame, batch: str, window_ms: int, lateness_ms: int) -> DataFrame:
-    """The late events of a replay whose batches are numbered from 0 in column ``batch``."""
+    """The late events of a replay whose batches are numbered in column ``batch``."""
     b = F.col(batch).cast("long")
-    most = events.groupBy(b.alias("_b")).agg(F.max("ts").alias("_m"))
-    # numbers of batches, not rows: a small table, each of whose rows joins the batches up to two before
-    marks = most.select(F.col("_b").alias("_now")).join(most, F.col("_b") <= F.col("_now") - 2).groupBy("_now").agg((F.max("_m") - lateness_ms).alias("_mark"))
+    most = events.groupBy(b.alias("_now")).agg(F.max("ts").alias("_m"))
+    # the running maximum over numbers of batches, not rows: one small row for each batch
+    upto = Window.orderBy("_now").rangeBetween(Window.unboundedPreceding, -2)
+    marks = most.select("_now", (F.max("_m").over(upto) - lateness_ms).alias("_mark"))
     end = (F.floor(F.col("ts") / window_ms) + 1) * window_ms
     return events.join(marks, b == F.col("_now")).where(end <= F.col("_mark")).drop("_now", "_mark")
 
 
-def json_late():
-    return F.to_json(F.struct("tenant_id", "entity_id", "ts"))
+def late_messages(late: DataFrame) -> DataFrame:
+    """Late events as (key, value) messages."""
+    return late.select(F.col("tenant_id").cast("binary").alias("key"), F.to_json(F.struct("tenant_id", "entity_id", "ts")).cast("binary").alias("value"))
+
+
+def anomaly_messages(anomalies: DataFrame) -> DataFrame:
+    """Anomalies as (key, value) messages."""
+    return anomalies.select(F.col("tenant_id").cast("binary").alias("key"), A.anomaly_json().cast("binary").alias("value"))
+
+
+def anomaly_leg(events: DataFrame, cfg: A.DetectorConfig, window_ms: int, lateness_ms: int, sink: Callable[[DataFrame], object], checkpoint: str, once: bool = False) -> StreamingQuery:
+    """The detector's anomalies into ``sink``, a function that gives a message stream's writer."""
+    anomalies = stream_anomalies(events, cfg, window_ms, lateness_ms)
+    return _start(sink(anomaly_messages(anomalies)).outputMode("append").queryName("anomalies"), checkpoint, once)
 
 
 class MetricsListener(StreamingQueryListener):
@@ -176,7 +214,11 @@ class MetricsListener(StreamingQueryListener):
         p = event.progress
         name = p.name or "query"
         METRICS.set("sm_last_batch_rows", p.numInputRows, query=name)
-        METRICS.inc("sm_batch_seconds_total", p.batchDuration / 1000, query=name)
+        METRICS.observe("sm_batch_seconds", p.batchDuration / 1000, query=name)
+        METRICS.inc("sm_rows_read_total", p.numInputRows, query=name)
+        METRICS.inc("sm_windows_total", sum(s.numRowsRemoved for s in p.stateOperators), query=name)  # windows that closed and left the state
+        if p.sink.numOutputRows > 0:
+            METRICS.inc("sm_rows_written_total", p.sink.numOutputRows, query=name)  # of the query ``anomalies``: the anomalies
         METRICS.inc("sm_late_rows_total", sum(s.numRowsDroppedByWatermark for s in p.stateOperators), query=name)
 
     def onQueryIdle(self, event) -> None:
