@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import os
+import threading
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +39,10 @@ class Settings:
     """Configuration; environment variables SM_<NAME> override the defaults."""
 
     topic: str = "signal_events"
+    anomaly_topic: str = "signal_anomalies"
+    late_topic: str = "signal_late"
+    sink: str = "serving"
+    index_path: str = "data/indices"
     bootstrap: str = "localhost:9092"
     index_prefix: str = "signals"
     archive_dir: str = "data/archive"
@@ -51,6 +59,8 @@ class Settings:
     retention_days: int = 30
     anomaly_window_ms: int = 60_000
     anomaly_lateness_ms: int = 5_000
+    anomaly_mode: str = "zscore"
+    anomaly_threshold: float = 3.0
     max_scan_bytes: int = 5 << 30
     max_concurrent: int = 3
     sla: str = "archive:3600:1,lake:3600:100,serving:3600"
@@ -65,18 +75,45 @@ class Settings:
         return out
 
 
+# Upper bounds of the histograms' buckets, in seconds.
+BUCKETS = (0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1, 2.5, 5, 10, 30, 60, 300)
+
+
 @dataclass
 class Metrics:
-    """Named counters and gauges of one process."""
+    """Named counters, gauges and histograms of one process; threads may share it."""
 
     values: dict[str, float] = field(default_factory=dict)
+    _lock: threading.Lock = field(default_factory=threading.Lock, repr=False, compare=False)
+
+    @staticmethod
+    def _key(name: str, labels: dict[str, str]) -> str:
+        return name + "".join(f",{k}={v}" for k, v in sorted(labels.items()))
 
     def inc(self, name: str, by: float = 1, **labels: str) -> None:
-        key = name + "".join(f",{k}={v}" for k, v in sorted(labels.items()))
-        self.values[key] = self.values.get(key, 0) + by
+        key = self._key(name, labels)
+        with self._lock:
+            self.values[key] = self.values.get(key, 0) + by
 
     def set(self, name: str, value: float, **labels: str) -> None:
-        self.values[name + "".join(f",{k}={v}" for k, v in sorted(labels.items()))] = value
+        with self._lock:
+            self.values[self._key(name, labels)] = value
+
+    def observe(self, name: str, value: float, **labels: str) -> None:
+        """Count a value in its buckets (each holds those below it), the sum and the number."""
+        for bound in (*BUCKETS, float("inf")):
+            if value <= bound:
+                self.inc(f"{name}_bucket", **labels, le="+Inf" if bound == float("inf") else f"{bound:g}")
+        self.inc(f"{name}_sum", value, **labels)
+        self.inc(f"{name}_count", **labels)
+
+    @contextmanager
+    def timed(self, name: str, **labels: str) -> Iterator[None]:
+        began = time.time()
+        try:
+            yield
+        finally:
+            self.observe(name, time.time() - began, **labels)
 
     def exposition(self) -> str:
         """Text lines ``name{label="value"} number``."""

@@ -8,6 +8,7 @@ import time
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import DAY_PATTERN, TENANT_PATTERN, shift_day
@@ -49,6 +50,15 @@ class ReadApi:
 
     def __init__(self, serving: ServingTable, cache: Cache | None = None, today: Callable[[], str] = lambda: dt.datetime.now(dt.timezone.utc).date().isoformat()):
         self.serving, self.cache, self.today = serving, cache or Cache(), today
+        serving.listeners.append(self._written)
+
+    def _written(self, docs: DataFrame) -> None:
+        """Evict what a write touched; only the keys that the cache holds are looked up among the documents."""
+        held = [tuple(k.split(":", 1)[1].rsplit(":", 1)) for k in self.cache.held]
+        if held:
+            keys = docs.sparkSession.createDataFrame(held, "id string, day string")
+            found = docs.select(F.concat_ws(":", "tenant_id", "entity_id").alias("id"), "day").join(F.broadcast(keys), ["id", "day"], "left_semi").distinct()
+            self.cache.evict([f"entity:{r.id}:{r.day}" for r in found.collect()])
 
     def upserted(self, keys: list[tuple[str, str, str]]) -> None:
         """Evict (tenant, entity, day) keys that were written."""
@@ -77,8 +87,31 @@ class ReadApi:
         return 200, {"entity_id": entity, "tenant_id": tenant, "days": [r.asDict() for r in rows.orderBy("day").collect()], "n": total.n, "mean_score": total["mean"]}, {}
 
 
+def scanned(frame: DataFrame) -> int:
+    """Bytes of the files that an executed query's scans read, by their own metrics."""
+    jvm, total = frame.sparkSession._jvm, 0
+    pending = [frame._jdf.queryExecution().executedPlan()]
+    while pending:
+        node = pending.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            pending.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            pending.append(node.plan())
+        elif name == "FileSourceScanExec":
+            metric = node.metrics().get("filesSize")
+            total += metric.get().value() if metric.isDefined() else 0
+        else:
+            children = jvm.scala.jdk.javaapi.CollectionConverters.asJava(node.children())
+            pending.extend(children[i] for i in range(children.size()))
+    return int(total)
+
+
 class QueryService:
-    """SQL behind the guard: 403 refused, 429 throttled, 502 failed; the slot is given back in every case."""
+    """SQL behind the guard: 403 refused, 429 throttled, 502 failed; the slot is given back in every case.
+
+    A reply holds at most ``max_rows`` rows and says in ``truncated`` whether there are more.
+    """
 
     def __init__(self, guard: Guard, max_rows: int = 10_000):
         self.guard, self.max_rows = guard, max_rows
@@ -92,15 +125,19 @@ class QueryService:
         if decision.verdict != ALLOW:
             return 403, asdict(decision), {}
         try:
-            frame = self.guard.spark.sql(sql)
-            rows = [list(r) for r in frame.take(self.max_rows)]
-            outcome = Outcome(decision.query_hash, "FINISHED", len(rows), decision.estimated_bytes, int((time.time() - began) * 1000))
-            reply = 200, {"columns": frame.columns, "rows": rows, "decision": asdict(decision)}, {}
+            frame = self.guard.spark.sql(sql).limit(self.max_rows + 1)
+            found = [list(r) for r in frame.collect()]
+            rows = found[: self.max_rows]
+            outcome = Outcome(decision.query_hash, "FINISHED", len(rows), scanned(frame), int((time.time() - began) * 1000))
+            body = {"columns": frame.columns, "rows": rows, "truncated": len(found) > len(rows), "processed_bytes": outcome.processed_bytes, "decision": asdict(decision)}
+            reply = 200, body, {}
         except Exception as e:
             outcome = Outcome(decision.query_hash, "FAILED", error=str(e)[:500], wall_ms=int((time.time() - began) * 1000))
             reply = 502, {"detail": str(e)[:500]}, {}
         finally:
             self.guard.release(user)
+        METRICS.observe("sm_query_seconds", time.time() - began)
+        METRICS.inc("sm_query_bytes_total", outcome.processed_bytes or 0)
         if self.guard.audit:
             self.guard.audit.record(outcome)
         return reply
