@@ -17,6 +17,7 @@ from .operators.tenancy import Quota, Router
 from .plans import capacity, guard, ops, shape
 from .sources import archive, synthetic
 from .sources.fs import scratch
+from .sources.indices import IndexStore
 from .sources.lake import Lake
 from .sources.stream import file_events
 from .streaming import jobs
@@ -42,6 +43,12 @@ _DOCS = f"""{_EV}, docs AS (SELECT tenant_id, entity_id, day, count(*) AS n, rou
   day || 'T00:00:00Z' AS window_start, strftime(day::DATE + 1, '%Y-%m-%d') || 'T00:00:00Z' AS window_end FROM ev GROUP BY tenant_id, entity_id, day)"""
 _STATS = f"""{_EV}, ws AS (SELECT tenant_id, entity_id, (ts // {WINDOW_MS}) * {WINDOW_MS} AS window_start, (ts // {WINDOW_MS} + 1) * {WINDOW_MS} AS window_end,
   count(*) AS n, sum(score) AS sum_score, min(score) AS min_score, max(score) AS max_score FROM ev GROUP BY ALL)"""
+# crc32 of ASCII text, a byte at a time by the table of the reflected polynomial; the tenant's routing buckets by it.
+_CRC = """crc AS (SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+entities AS (SELECT entity_id, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(entity_id, ''), lambda x: ascii(x)::BIGINT)),
+  lambda c, b: xor(c // 256, crc.t[(xor(c, b) % 256) + 1]))) AS crc FROM (SELECT DISTINCT entity_id FROM ev), crc)"""
+_ROUTED = """CASE WHEN tenant_id = 't-1' THEN 'signals-t-1-' || day ELSE 'signals-' || day END AS "index",
+  CASE WHEN tenant_id <> 't-1' THEN tenant_id || '#' || (crc % 4) END AS routing"""
 _DOC_COLUMNS = "tenant_id, entity_id, n, mean_score, min_score, max_score, stddev_score, last_score, last_ts, signal_types, sources, window_start, window_end, day"
 
 
@@ -82,6 +89,13 @@ def dedup_events(spark, sf_dir):
     return R.dedup(R.with_event_time(redelivered(events_of(spark, sf_dir)))).select("event_id", "tenant_id", "entity_id", "score", "ts")
 
 
+@query(f"WITH {_EV} SELECT substr(sha1(tenant_id || '|' || entity_id || '|' || signal_type || '|' || source || '|' || ts), 1, 20) AS event_id, count(*) AS n FROM ev GROUP BY ALL")
+def decode_missing_ids(spark, sf_dir):
+    """Messages without an id get one that they share with their redeliveries only."""
+    raw = codec.encode_events(events_of(spark, sf_dir).withColumn("event_id", F.lit("")), derive=False)
+    return codec.decode_events(raw).groupBy("event_id").agg(F.count("*").alias("n"))
+
+
 @query()
 def decode_events(spark, sf_dir):
     raw = codec.encode_events(events_of(spark, sf_dir))
@@ -123,7 +137,7 @@ def query_hash(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", S.query_hash(sql).alias("query_hash"))
 
 
-@query()
+@query(f"WITH {_EV}, {_CRC} SELECT event_id, {_ROUTED} FROM ev JOIN entities USING (entity_id)")
 def routing_key(spark, sf_dir):
     return ROUTER.route(R.with_event_time(events_of(spark, sf_dir))).select("event_id", "index", "routing")
 
@@ -219,6 +233,14 @@ def anomaly_json(spark, sf_dir):
     return A.detect(stats(spark, sf_dir), ZSCORE).select(A.anomaly_json().alias("value"))
 
 
+@query(_ZSCORE_SQL.replace(_ANOMALY, _ANOMALY + ", 'mean_score' AS metric, 3.0::DOUBLE AS threshold, 'zscore' AS detector, round(greatest(sd, 0.05), 6) AS stddev"))
+def anomaly_json_fields(spark, sf_dir):
+    """The messages, parsed again."""
+    kinds = {"n": "long", "samples": "long", "window_start": "long", "window_end": "long", **dict.fromkeys(("value", "baseline", "stddev", "score", "threshold"), "double")}
+    kind = ", ".join(f"{c} {kinds.get(c, 'string')}" for c in A._OUT)
+    return anomaly_json(spark, sf_dir).select(F.from_json("value", kind).alias("a")).select("a.*")
+
+
 # -- tenancy
 
 
@@ -236,16 +258,29 @@ def quota_tenant_days(spark, sf_dir):
     return d.where((QUOTA.limit() > 0) & (F.col("entities") >= QUOTA.limit()))
 
 
-@query()
+@query(f"WITH {_DOCS}, {_CRC} SELECT {_DOC_COLUMNS}, {_ROUTED} FROM docs JOIN entities USING (entity_id)")
 def route_documents(spark, sf_dir):
     return flat(ROUTER.route(documents(spark, sf_dir)).repartition("index", "routing"))
 
 
-@query()
+@query(f'WITH {_DOCS}, {_CRC}, r AS (SELECT {_ROUTED} FROM docs JOIN entities USING (entity_id)) SELECT "index", count(*) AS docs, count(DISTINCT routing) AS routings FROM r GROUP BY "index"')
 def routing_fanout(spark, sf_dir):
     return ROUTER.route(documents(spark, sf_dir)).groupBy("index").agg(F.count("*").alias("docs"), F.count_distinct("routing").alias("routings"))
 
 
+@query(
+    f"""WITH {_DOCS}, r AS (SELECT *, dense_rank() OVER (PARTITION BY tenant_id, day ORDER BY entity_id) AS r, CASE tenant_id WHEN 't-0' THEN 20 WHEN 't-1' THEN 0 ELSE 10 END AS lim FROM docs)
+SELECT CASE WHEN tenant_id = 't-1' THEN 'signals-t-1-' || day ELSE 'signals-' || day END AS "index", count(*) AS docs, sum(n)::BIGINT AS events FROM r WHERE lim <= 0 OR r <= lim GROUP BY ALL"""
+)
+def routed_write(spark, sf_dir):
+    """Documents under quota in the indices that they are routed to."""
+    store = IndexStore(spark, scratch(spark, "indices"))
+    d = documents(spark, sf_dir)
+    store.write(d, ROUTER, QUOTA, updated_at=1, batch_id=0)
+    store.write(d.where(F.col("day") == DAY), ROUTER, QUOTA, updated_at=2, batch_id=1)
+    return store.read().groupBy("index").agg(F.count("*").alias("docs"), F.sum("n").alias("events"))
+
+
 # -- archive
 
 
@@ -269,6 +304,12 @@ def archive_freshness(spark, sf_dir):
     return spark.createDataFrame([(r.dataset, r.day, r.rows, r.updated_at_ms)], "dataset string, day string, rows long, updated_at_ms long")
 
 
+@query(f"WITH {_EV} SELECT 'archive' AS dataset, '{DAY}' AS day, (SELECT count(*) FROM ev WHERE day = '{DAY}') AS rows, true AS written")
+def archive_freshness_rows(spark, sf_dir):
+    """What the probe reports but for the instant, which no table has."""
+    return archive_freshness(spark, sf_dir).select("dataset", "day", "rows", (F.col("updated_at_ms") > 0).alias("written"))
+
+
 @query()
 def synth_events(spark, sf_dir):
     return synthetic.synth_events(spark, 1000, tenants=4)
@@ -474,7 +515,15 @@ def decided(spark: SparkSession, sf_dir: str) -> list[guard.Decision]:
     return [g.decide("analyst", s) for s in STATEMENTS]
 
 
-@query()
+# What the rules say of each statement.
+_RULED = ("ok", "unbounded_select_star", "ok", "missing_partition_predicate", "missing_partition_predicate", "missing_partition_predicate", "cross_join", "statement_not_allowed", "multi_statement", "unparsable", "ok", "unbounded_select_star")
+
+
+@query(
+    "SELECT * FROM (VALUES "
+    + ", ".join("('{}', '{}', '{}')".format(q.replace("'", "''"), "allow" if r == "ok" else "reject", r) for q, r in zip(STATEMENTS, _RULED, strict=True))
+    + ") v(sql, verdict, rule)"
+)
 def guard_shapes(spark, sf_dir):
     return spark.createDataFrame([(d.sql, d.verdict, d.rule) for d in decided(spark, sf_dir)], "sql string, verdict string, rule string")
 
@@ -486,6 +535,13 @@ def scan_estimate(spark, sf_dir):
     return spark.createDataFrame(rows, "predicate string, bytes long")
 
 
+@query("SELECT true AS positive, true AS pruned")
+def scan_estimate_pruned(spark, sf_dir):
+    """That one day is estimated at some bytes, and fewer than all of them."""
+    one, every = (F.max(F.when(F.col("predicate") == p, F.col("bytes"))) for p in (f" WHERE day = '{DAY}'", ""))
+    return scan_estimate(spark, sf_dir).agg((one > 0).alias("positive"), (one < every).alias("pruned"))
+
+
 # Decisions made of events, so that both sides can compute them.
 _DECISIONS = """d AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'reject' WHEN event_id % 7 = 0 THEN 'throttle' ELSE 'allow' END AS verdict, event_type AS rule,
   CASE WHEN event_id % 5 > 0 THEN user_id * 1000 END AS estimated_bytes FROM events)"""
@@ -630,6 +686,30 @@ def stream_archive(spark, sf_dir):
     return R.with_event_time(archive.read_archive(spark, path)).select("event_id", "entity_id", "ts", "day")
 
 
+@query(f"WITH {_EV} SELECT event_id, entity_id, ts, day FROM ev UNION ALL SELECT event_id, entity_id, ts, day FROM ev WHERE event_id::BIGINT % 20 = 0")
+@few_partitions
+def stream_archive_compacted(spark, sf_dir):
+    """The archive of a stream whose days are compacted between two runs of it."""
+    path, state = scratch(spark, "archive"), scratch(spark, "state")
+    e = redelivered(events_of(spark, sf_dir).select(*EVENT.names))
+    here = arriving(spark, e.where("ts % 2 = 0"), 2)
+    jobs.archive_leg(file_events(spark, here, 1), path, state, once=True).awaitTermination()
+    archive.compact_day(spark, path, DAY)
+    e.where("ts % 2 <> 0").coalesce(1).write.mode("append").parquet(here)
+    jobs.archive_leg(file_events(spark, here, 1), path, state, once=True).awaitTermination()
+    archive.compact_day(spark, path, DAY)
+    return R.with_event_time(archive.read_archive(spark, path)).select("event_id", "entity_id", "ts", "day")
+
+
+@query(f"WITH {_DOCS} SELECT day, tenant_id, entity_id, n, mean_score FROM docs")
+@few_partitions
+def stream_rollup_lake(spark, sf_dir):
+    """The lake's leg of the rollup stream: the last version of each document."""
+    lake = Lake(spark, scratch(spark, "lake"))
+    jobs.rollup_leg(stream_of(spark, sf_dir, False), ServingTable(spark, scratch(spark, "serving")), scratch(spark, "state"), once=True, lake=lake).awaitTermination()
+    return lake.read(newest_of=jobs.LAKE_KEY).select("day", "tenant_id", "entity_id", "n", "mean_score")
+
+
 @query(f"WITH {_EV} SELECT event_id, entity_id, ts FROM ev")
 @few_partitions
 def stream_dedup(spark, sf_dir):
@@ -668,6 +748,30 @@ def late_events(spark, sf_dir):
     return jobs.late_replay(e, "batch", WINDOW_MS, 5000).select("tenant_id", "entity_id", "ts", "batch")
 
 
+@query(
+    f"""WITH {_EV}, b AS (SELECT *, (event_id::BIGINT * 7919) % 4 AS batch FROM ev), m AS (SELECT batch, max(ts) AS m FROM b GROUP BY batch),
+w AS (SELECT a.batch AS now, max(x.m) - 5000 AS mark FROM m a JOIN m x ON x.batch <= a.batch - 2 GROUP BY a.batch)
+SELECT tenant_id, entity_id, ts, batch FROM b JOIN w ON b.batch = w.now WHERE (ts // {WINDOW_MS} + 1) * {WINDOW_MS} <= mark"""
+)
+def late_leg(spark, sf_dir):
+    """The late leg itself, fed four batches, each twice."""
+    e = events_of(spark, sf_dir).withColumn("batch", (F.col("event_id").cast("long") * 7919) % 4)
+    leg = jobs.LateLeg(spark, path := scratch(spark, "late"), WINDOW_MS, 5000)
+    for k in range(4):
+        for _ in range(2):
+            leg(e.where(F.col("batch") == k).drop("batch"), k)
+    return spark.read.parquet(f"{path}/late").withColumn("batch", F.col("batch").cast("long"))
+
+
+@query(f"WITH {_EV} SELECT event_id, min(score) AS score, min(ts) AS ts, count(*) AS copies FROM (SELECT event_id, score, ts FROM ev UNION ALL SELECT event_id, score + 1, ts + 1000 FROM ev WHERE event_id::BIGINT % 20 = 0) GROUP BY event_id")
+def dedup_two_payloads(spark, sf_dir):
+    """One id with two payloads: the earlier stays."""
+    e = events_of(spark, sf_dir)
+    both = e.union(e.where(F.col("event_id").cast("long") % 20 == 0).withColumns({"score": F.col("score") + 1, "ts": F.col("ts") + 1000}).select(*e.columns))
+    kept = R.dedup(R.with_event_time(both)).select("event_id", "score", "ts")
+    return kept.join(both.groupBy("event_id").agg(F.count("*").alias("copies")), "event_id")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
