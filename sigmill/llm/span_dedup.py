@@ -122,37 +122,26 @@ def _blocks(least: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return first[ok], last[ok]
 
 
-_SPAN = np.uint64(0x9FB21C651E98DF25)  # hashes of spans stand apart from those of passages
-
-
-def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What may repeat: of each span its hash and 0; of each block of passages its smallest hash and the hash of the
-    whole block, and another row with 0 where the smallest hash recurs within one."""
+def _smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Smallest hash and hash of the whole block, one for each block; another row with 0 where the smallest hash recurs within one."""
     for batch in batches:
         for _, _, data, offsets in text_chunks(batch.column(2)):
             s = Sentences(data, offsets)
-            _, first, end = s.spans()
-            h, block = [], []
-            if len(first):
-                h.append(s.hashes(first, end)[0] ^ _SPAN)
-                block.append(np.zeros(len(first), np.uint64))
             grams, least, text = s.passages()
-            if len(least):
-                first, last = _blocks(least, text)
-                h.append(least[first])
-                block.append(s.run_hashes(first, last + PASSAGE)[0])
-                edge = np.zeros(GRAMS - 1, np.uint64)
-                places = np.flatnonzero((grams == _slide(np.maximum, np.concatenate([edge, least, edge]))) & (grams != 0))
-                close = np.unique(grams[places[1:]][(grams[places[1:]] == grams[places[:-1]]) & (np.diff(places) <= GRAMS)])
-                h.append(close)
-                block.append(np.zeros(len(close), np.uint64))
-            if h:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (h, block)], names=["h", "block"])
+            if not len(least):
+                continue
+            first, last = _blocks(least, text)
+            block, _ = s.run_hashes(first, last + PASSAGE)
+            edge = np.zeros(GRAMS - 1, np.uint64)
+            places = np.flatnonzero((grams == _slide(np.maximum, np.concatenate([edge, least, edge]))) & (grams != 0))
+            close = np.unique(grams[places[1:]][(grams[places[1:]] == grams[places[:-1]]) & (np.diff(places) <= GRAMS)])
+            h, block = np.concatenate([least[first], close]), np.concatenate([block, np.zeros(len(close), np.uint64)])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(block.view(np.int64))], names=["h", "block"])
 
 
 def _marks(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Two tables of marks, 64 bits an entry: hashes that repeat, and those of them with different blocks. Their size is fixed; false marks cost time only."""
-    many = found.mapInArrow(_hashes, "h long, block long").groupBy("h").agg(F.count("*").alias("n"), F.min("block").alias("a"), F.max("block").alias("b")).where("n > 1")
+    """Two tables of marks, 64 bits an entry: smallest hashes that repeat, and those of them with different blocks."""
+    many = found.mapInArrow(_smallest, "h long, block long").groupBy("h").agg(F.count("*").alias("n"), F.min("block").alias("a"), F.max("block").alias("b")).where("n > 1")
     bits = many.selectExpr(f"(h & {MARKS - 1}) >> 6 AS slot", "shiftleft(1L, int(h & 63)) AS bit", "a <> b AS mixed")
     bits = bits.groupBy("slot").agg(F.bit_or("bit").alias("many"), F.bit_or(F.when(F.col("mixed"), F.col("bit")).otherwise(F.lit(0))).alias("mixed")).toArrow()
     out = np.zeros((2, MARKS // 64), np.int64)
@@ -173,42 +162,24 @@ def _again(keys: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def _marked(found: DataFrame, kind: str) -> DataFrame:
-    """The spans, and the passages and blocks of passages, that can repeat: id, th, whether a span, first and end
-    (sentence or word), whether this text has the same passage before, and hashes."""
-    spark = found.sparkSession
-    tables = spark.sparkContext.broadcast(_marks(found))
+def _passages(found: DataFrame, kind: str) -> DataFrame:
+    """The passages and blocks of passages that can repeat: id, th, first and end word, whether this text has the same before, and hashes."""
+    tables = found.sparkSession.sparkContext.broadcast(_marks(found))
 
-    def has(marks: np.ndarray, h: np.ndarray) -> np.ndarray:
+    def marked(marks: np.ndarray, h: np.ndarray) -> np.ndarray:
         low = (h & np.uint64(MARKS - 1)).astype(np.int64)
         return (marks[low >> 6] >> (low & 63)) & 1 == 1
 
-    def rows(batch: pa.RecordBatch, at: np.ndarray, span: bool, first: np.ndarray, end: np.ndarray, again: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> pa.RecordBatch:
-        where = pa.array(at)
-        return pa.RecordBatch.from_arrays(
-            [
-                batch.column(0).take(where), batch.column(1).take(where), pa.array(np.full(len(at), span)), pa.array(first.astype(np.int32)), pa.array(end.astype(np.int32)),
-                pa.array(again), pa.array(h1.view(np.int64)), pa.array((h2 >> np.uint64(32)).astype(np.uint32).view(np.int32)),
-            ],
-            names=["id", "th", "span", "s", "e", "again", "h1", "h2"],
-        )
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         many, mixed = tables.value
         for batch in batches:
             for i, _, data, offsets in text_chunks(batch.column(2)):
                 s = Sentences(data, offsets)
-                text, first, end = s.spans()
-                if len(text):
-                    h1, h2 = s.hashes(first, end)
-                    ok = has(many, h1 ^ _SPAN)
-                    text, base = text[ok], s.of_text[text[ok]]
-                    yield rows(batch, i + text, True, first[ok] - base, end[ok] - base, np.zeros(len(text), bool), h1[ok], h2[ok])
                 _, least, text = s.passages()
                 first, last = _blocks(least, text)
-                ok = has(many, least[first])
+                ok = marked(many, least[first])
                 first, last = first[ok], last[ok]
-                single = has(mixed, least[first])
+                single = marked(mixed, least[first])
                 size = np.where(single, last - first + 1, 1)
                 at = np.repeat(first, size) + np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
                 end = np.where(np.repeat(single, size), at, np.repeat(last, size)) + PASSAGE
@@ -217,9 +188,34 @@ def _marked(found: DataFrame, kind: str) -> DataFrame:
                 h1, h2 = s.run_hashes(at, end)
                 text = text[at]
                 again = _again(h1 ^ mix64(text.astype(np.uint64)), at)
-                yield rows(batch, i + text, False, at - s.first[text], end - s.first[text], again, h1, h2)
+                rows, base = pa.array(i + text), s.first[text]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(rows), batch.column(1).take(rows), pa.array((at - base).astype(np.int32)), pa.array((end - base).astype(np.int32)), pa.array(again),
+                        pa.array(h1.view(np.int64)), pa.array((h2 >> np.uint64(32)).astype(np.uint32).view(np.int32)),
+                    ],
+                    names=["id", "th", "s", "e", "again", "h1", "h2"],
+                )
 
-    return found.mapInArrow(run, f"id {kind}, th int, span boolean, s int, e int, again boolean, h1 long, h2 int")
+    return found.mapInArrow(run, f"id {kind}, th int, s int, e int, again boolean, h1 long, h2 int")
+
+
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i, _, data, offsets in text_chunks(batch.column(2)):
+            s = Sentences(data, offsets)
+            text, first, end = s.spans()
+            if not len(text):
+                continue
+            h1, h2 = s.hashes(first, end)
+            base = s.of_text[text]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(pa.array(i + text)), batch.column(1).take(pa.array(i + text)), pa.array((first - base).astype(np.int32)), pa.array((end - base).astype(np.int32)),
+                    pa.array(h1.view(np.int64)), pa.array((h2 >> np.uint64(32)).astype(np.uint32).view(np.int32)),
+                ],
+                names=["id", "th", "s", "e", "h1", "h2"],
+            )
 
 
 def covered(n: int, spans: list[dict]) -> np.ndarray:
@@ -253,26 +249,30 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Rows that repeat an id hold the same place in the order: a span that is first in one of them is
     first in all. A passage removed in part of a sentence leaves the sentence's other words; as no
     sentence is longer than MAX_WORDS, some sentence goes whole wherever a word goes. Very long texts
-    are handled whole, one at a time. All other columns pass, whatever their names; columns that
-    have the names of ``counts`` are replaced, so callers that keep such columns pass other names. An
-    empty table gives an empty result. White space after a removed sentence or word goes with it.
+    are handled whole, one at a time. All other columns pass, whatever their names; columns that have
+    the names of ``counts`` are replaced, so callers that keep such columns pass other names. An empty
+    table gives an empty result. White space after a removed sentence or word goes with it.
 
-    Spans and passages are counted by one hash with partial sums; only those that can occur more than
-    once are found again, written, and joined; the adaptive skew join splits hashes with many rows.
+    Spans are counted with partial sums; those that occur more than once are found again by a join
+    whose large keys the adaptive skew join splits, and only they travel to their texts.
     """
     docs = docs.drop(*counts)
     kind = docs.schema[id_col].dataType.simpleString()
     found = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.hash(text_col).alias("th"), F.col(text_col).alias("text"))
-    marked = materialize(_marked(found, kind), "marked")
-    key = ["span", "h1", "h2"]
-    ahead = marked.where("NOT again")
-    shared = materialize(ahead.groupBy(*key).agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1").drop("n"), "repeats")
-    repeated = ahead.join(shared, key).withColumn("own", F.col("id") == F.col("first")).where("span OR NOT own")
-    repeated = repeated.select("id", "th", "span", "s", "e", "h1", "h2", "own").unionByName(marked.where("again").select("id", "th", "span", "s", "e", "h1", "h2", F.lit(False).alias("own")))
+    spans = found.mapInArrow(_spans, f"id {kind}, th int, s int, e int, h1 long, h2 int")
+    many = spans.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1").drop("n")
+    many = materialize(many, "repeats")
+    repeated = spans.join(many, ["h1", "h2"]).select("id", "th", "s", "e", "h1", "h2", (F.col("id") == F.col("first")).alias("own"))
+    passages = _passages(found, kind)
+    ahead = passages.where("NOT again")
+    shared = ahead.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1").drop("n")
+    shared = materialize(shared, "passages")
+    later = ahead.join(shared, ["h1", "h2"]).where("id <> first").select("id", "th", "s", "e").unionByName(passages.where("again").select("id", "th", "s", "e"))
+    repeated = repeated.unionByName(later, allowMissingColumns=True)
     # a set, and by text as well: rows that repeat an id repeat its spans, or have others
     by_text = repeated.groupBy("id", "th").agg(
-        F.collect_set(F.when(F.col("span"), F.struct("s", "e", "h1", "h2", "own"))).alias("spans"),
-        F.collect_list(F.when(~F.col("span"), F.struct("s", "e"))).alias("passages"),
+        F.collect_set(F.when(F.col("h1").isNotNull(), F.struct("s", "e", "h1", "h2", "own"))).alias("spans"),
+        F.collect_list(F.when(F.col("h1").isNull(), F.struct("s", "e"))).alias("passages"),
     )
     # the names of the join's columns are away from those of the table
     own = dict(zip(by_text.columns, unused(docs, *by_text.columns), strict=True))
