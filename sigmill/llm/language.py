@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, schema_with
+from .common import BROADCAST_ROWS, held_out, materialize, schema_with
 from .hashed_text import IS_LETTER, LOWER, code_points
 
 #: Labelled documents of a language to learn from (about), and the most symbols of its sample.
@@ -198,7 +198,8 @@ def fit(docs: DataFrame) -> Model:
     One pass counts the languages, and one takes the sample; equal runs count once.
     """
     use = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    counts = use.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = materialize(use.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    counts = F.broadcast(counts) if counts.count() <= BROADCAST_ROWS else counts
     unit = lambda salt: F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 40)) / float(1 << 40)
     # so many characters of each document that the sample has enough symbols, and twice that for what is no letter
     size = F.greatest(F.lit(100), F.ceil(F.lit(2 * TRAIN_SYMBOLS) / F.least(F.col("n"), F.lit(TRAIN_DOCS)))).cast("int")
