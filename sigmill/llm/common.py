@@ -37,7 +37,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, and survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -197,11 +197,32 @@ def signed(x: np.ndarray) -> np.ndarray:
 # Components
 
 
+#: A node with more than this share of all rows is joined by broadcast: there are at most 1 / HUB of them.
+HUB = 1 / 400
+
+
+def _with_least(pairs: DataFrame, total: int, own: bool) -> DataFrame:
+    """``pairs`` (a, b) with m, the least b of each a (or a itself, with ``own``).
+
+    The rows of an ``a`` that has more than the share HUB of all ``total`` rows stay where they are
+    and meet its least by broadcast (at most 1 / HUB rows, whatever the input); only the others are
+    dealt by ``a``, so no task holds a hub's neighbours.
+    """
+    least = pairs.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("c"))
+    if own:
+        least = least.withColumn("m", F.least("a", "m"))
+    least = materialize(least, "least")
+    hubs = F.broadcast(least.where(F.col("c") > total * HUB).select("a", "m"))
+    rest = least.where(F.col("c") <= total * HUB).select("a", "m")
+    return pairs.join(hubs, "a").unionByName(pairs.join(hubs.select("a"), "a", "left_anti").join(rest, "a"))
+
+
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """``edges`` (a, b) to (id, component): the smallest id that can be reached; ids without an edge have no row.
 
-    Alternating large-star and small-star rounds: only minima and edges move between tasks, a hub's
-    neighbours are never gathered, and each round is written to the shared folder.
+    Alternating large-star and small-star rounds: only minima and edges move between tasks, and each
+    round is written to the shared folder. The number of rounds grows with the logarithm of the
+    longest chain; edges that are not done after ``rounds`` raise an error.
     """
     edges = materialize(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"
@@ -213,17 +234,18 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             break
         seen = stats
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = _with_least(both, 2 * stats[0], own=True).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = materialize(large, "stars")
         small = (
-            large.join(low, "a")
+            _with_least(large, stats[0], own=False)
             .select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
             .select("e.a", "e.b")
             .where("a <> b")
             .distinct()
         )
         edges = materialize(small, "edges")
+    else:
+        raise RuntimeError(f"components are not complete after {rounds} rounds")
     return edges.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "id").unionByName(
         edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     )

@@ -22,8 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import BROADCAST_ROWS, connected_components, materialize, mix64, shingle_sets, signed
 
@@ -34,8 +36,8 @@ NUM, DEN = 4, 5
 KEYS, VALUES = 6, 2
 #: Shingles that a block of BLOCK counts in at least SEEN documents are candidates for the end of the order; at most HOT of them move there.
 BLOCK, SEEN, HOT = 2_000_000, 4, 1 << 18
-#: Classes that a comparison holds at once.
-HELD = 256
+#: Classes that a comparison holds at once, and those that ask it.
+HELD, ASKED = 256, 1024
 
 _SEEDS = mix64(np.arange(101, 101 + KEYS * VALUES, dtype=np.uint64))
 
@@ -125,7 +127,7 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(hot: np.ndarray, counts: np.ndarray):
-    """Rows (token, class, size) of every class's prefix; a class that a task meets again is left out while it remembers it."""
+    """Rows (token, class, size, whether the token is hot) of every class's prefix; a class that a task meets again is left out while it remembers it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
@@ -134,12 +136,13 @@ def _prefixes(hot: np.ndarray, counts: np.ndarray):
 
             def pack() -> pa.RecordBatch:
                 lengths = [len(t) for t in tokens]
+                token = np.concatenate([np.zeros(0, np.uint64), *tokens])
                 return pa.RecordBatch.from_arrays(
                     [
-                        pa.array(signed(np.concatenate([np.zeros(0, np.uint64), *tokens]))), pa.array(np.repeat(np.array(classes, np.int64), lengths)),
-                        pa.array(np.repeat(np.array(sizes, np.int32), lengths)),
+                        pa.array(signed(token)), pa.array(np.repeat(np.array(classes, np.int64), lengths)), pa.array(np.repeat(np.array(sizes, np.int32), lengths)),
+                        pa.array(np.isin(token, hot)),
                     ],
-                    names=["token", "class", "n"],
+                    names=["token", "class", "n", "hot"],
                 )
 
             rows = 0
@@ -162,64 +165,83 @@ def _prefixes(hot: np.ndarray, counts: np.ndarray):
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by token, those whose token has more than one class."""
-    rest = None
+    """Of rows sorted by token, those whose token has more than one class; of a token that goes on in the next batch one row is held until another class shows."""
+    held, shared = None, False  # the last token's first row, and whether it has been passed on
     for batch in batches:
         token, cls, n = (batch.column(k).to_numpy() for k in range(3))
-        if rest is not None:
-            token, cls, n = (np.concatenate([a, b]) for a, b in zip(rest, (token, cls, n), strict=True))
         if not len(token):
             continue
-        start = int(np.searchsorted(token, token[-1]))  # the last token may go on; only its distinct rows are kept
-        last = np.unique(np.rec.fromarrays([cls[start:], n[start:]]))
-        rest = np.full(len(last), token[-1]), last["f0"], last["f1"]
-        yield _several(token[:start], cls[:start], n[:start])
-    if rest is not None:
-        yield _several(*rest)
-
-
-def _several(token: np.ndarray, cls: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    if len(token):
+        if held is not None:
+            token, cls, n = (np.concatenate([[a], b]) for a, b in zip(held, (token, cls, n), strict=True))
         first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
         run = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(token))))
-        different = np.bincount(run, cls != cls[first][run]) > 0
-        keep = different[run]
-        token, cls, n = token[keep], cls[keep], n[keep]
-    return pa.RecordBatch.from_arrays([pa.array(token), pa.array(cls), pa.array(n)], names=["token", "class", "n"])
+        several = np.bincount(run, cls != cls[first][run]) > 0
+        if held is not None:
+            several[0] |= shared
+        keep = several[run]
+        if held is not None and shared:
+            keep[0] = False  # it has gone before
+        shared = bool(several[-1])
+        held = token[-1], cls[first[-1]], n[first[-1]]
+        yield pa.RecordBatch.from_arrays([pa.array(token[keep]), pa.array(cls[keep]), pa.array(n[keep].astype(np.int32))], names=["token", "class", "n"])
+
+
+def _shared_or_hot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of hot shingles as they are, and of the others (which come first) those that ``_shared`` leaves."""
+    hot: list[pa.RecordBatch] = []
+
+    def cold() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = int(pc.sum(batch.column(3)).as_py() or 0)
+            yield batch.slice(0, batch.num_rows - n)
+            if n:
+                hot.append(batch.slice(batch.num_rows - n).select([0, 1, 2]))
 
+    for out in _shared(cold()):
+        yield out
+        while hot:
+            yield hot.pop()
+    while hot:
+        yield hot.pop()
 
-def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (task, held, id, text) by task, held ones first: links (a, b) of the others with the held ones."""
-    task, ids, sets, union = None, [], [], None
-    out_a, out_b = [], []
-    for batch in batches:
-        tasks, is_held, own = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        for t, h, i, s in zip(tasks, is_held, own, shingle_sets(batch.column(3), SIZE), strict=True):
-            if t != task:
-                task, ids, sets, union = t, [], [], None
-            if h:
-                ids.append(i)
-                sets.append(s)
-                union = None
-                continue
-            if not sets or not len(s):
-                continue
-            if union is None:
-                union = np.unique(np.concatenate(sets)) if len(sets) > 1 else sets[0]
-            if len(sets) > 1 and DEN * len(np.intersect1d(s, union, assume_unique=True)) < NUM * len(s):
-                continue  # the bound: no set of the group can reach the threshold
-            for j, other in zip(ids, sets, strict=True):
-                if linked(s, other):
-                    out_a.append(i)
-                    out_b.append(j)
-                    break
-        if out_a:
-            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
-            out_a, out_b = [], []
-
-
-def open_tasks(docs: DataFrame, tasks: DataFrame) -> DataFrame:
-    """The links found in ``tasks`` (task, held, id): texts are fetched for their ids only."""
+
+def _open(one_link: bool):
+    """Rows (task, held, id, text) by task, held ones first, to links (a, b) of the others with the held ones: of each other one, or only one of the whole task (of two groups, each connected, one link tells all)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, ids, sets, union, done = None, [], [], None, False
+        out_a, out_b = [], []
+        for batch in batches:
+            tasks, is_held, own = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            for t, h, i, s in zip(tasks, is_held, own, shingle_sets(batch.column(3), SIZE), strict=True):
+                if t != task:
+                    task, ids, sets, union, done = t, [], [], None, False
+                if h:
+                    ids.append(i)
+                    sets.append(s)
+                    union = None
+                    continue
+                if done or not sets or not len(s):
+                    continue
+                if union is None:
+                    union = np.unique(np.concatenate(sets)) if len(sets) > 1 else sets[0]
+                if len(sets) > 1 and DEN * len(np.intersect1d(s, union, assume_unique=True)) < NUM * len(s):
+                    continue  # the bound: no set of the group can reach the threshold
+                for j, other in zip(ids, sets, strict=True):
+                    if linked(s, other):
+                        out_a.append(i)
+                        out_b.append(j)
+                        done = one_link
+                        break
+            if out_a:
+                yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
+                out_a, out_b = [], []
+
+    return run
+
+
+def open_tasks(docs: DataFrame, tasks: DataFrame, one_link: bool) -> DataFrame:
+    """The links found in ``tasks`` (task, held, id): texts are fetched for their ids only. A task has at most HELD + ASKED rows."""
     tasks = materialize(tasks, "tasks")
     wanted = tasks.select("id").distinct()
     n = tasks.count()
@@ -228,7 +250,19 @@ def open_tasks(docs: DataFrame, tasks: DataFrame) -> DataFrame:
     texts = docs.join(F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted, "id", "left_semi")
     rows = texts.join(tasks, "id").select("task", "held", "id", "text")
     rows = rows.repartition("task").sortWithinPartitions("task", F.desc("held"))
-    return materialize(rows.mapInArrow(_open, "a long, b long"), "links")
+    return materialize(rows.mapInArrow(_open(one_link), "a long, b long"), "links")
+
+
+def most_frequent(counted: DataFrame, rows: int) -> DataFrame:
+    """The rows (token, n) with the largest n, as many as there are up to ``rows``, by a threshold from a histogram: no task sorts them."""
+    step = F.floor(F.log2("n") * 8).cast("int")
+    total, least = 0, None
+    for r in sorted(counted.groupBy(step.alias("step")).count().collect(), key=lambda r: -r.step):  # at most 8 * 63 steps
+        total += r["count"]
+        if total > rows:
+            break
+        least = r.step
+    return counted.where(F.lit(False)) if least is None else counted.where(step >= least)
 
 
 def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -237,10 +271,13 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
     Words are runs of other bytes than space and \\t..\\r, A-Z in lower case; a text of one to four
     words has the run of all as its one shingle; null and empty texts have none and link with
     nothing. Equal sets link. Rows that repeat an id are told apart by their texts only; a null id
-    keeps its row but takes part in no link and is its own (null) component. Other columns are not
-    read; an empty table gives an empty result.
+    keeps its row but takes part in no link and is its own (null) component. Ids that are no integers
+    raise a TypeError. Very long texts are compared whole. Other columns are not read, whatever their
+    names; an empty table gives an empty result.
     """
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    if not isinstance(documents.schema[id_col].dataType, T.IntegralType):
+        raise TypeError(f"{id_col} must be an integer: the smallest of a component names it")
     known = docs.where(F.col("id").isNotNull())
     sig = materialize(docs.mapInArrow(_signatures, "id long, n long, h1 long, h2 long, keys array<long>"), "signatures")
     classes = materialize(
@@ -256,21 +293,24 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
         .distinct()
     )
     near = materialize(near, "near")
-    held = near.groupBy("leader").agg(F.ceil(F.count("*") / HELD).alias("parts"))
+    held = near.groupBy("leader").agg(F.ceil(F.count("*") / ASKED).alias("parts"))
     salted = near.join(held, "leader").select(F.concat_ws("/", "leader", F.pmod(F.xxhash64("rep"), "parts")).alias("task"), "leader", F.col("rep").alias("id"))
     tasks = salted.select("task", F.lit(False).alias("held"), "id").union(salted.select("task", F.lit(True), "leader").distinct())
-    first_links = open_tasks(known, tasks)
+    first_links = open_tasks(known, tasks, one_link=False)
     groups = connected_components(first_links).withColumnRenamed("id", "rep").withColumnRenamed("component", "group_id")
     member = materialize(classes.select("h1", "rep", "n").join(groups, "rep", "left").select("h1", "rep", "n", F.coalesce("group_id", "rep").alias("group_id")), "members")
     # 2. token-group matrix
     frequent = known.select("text").mapInArrow(_frequent, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    hot_rows = frequent.where(F.col("n") >= 2 * SEEN).orderBy(F.desc("n"), "token").limit(HOT).toArrow()
+    frequent = materialize(frequent.where(F.col("n") >= 2 * SEEN), "frequent")
+    hot_rows = most_frequent(frequent, HOT).toArrow()
     hot = hot_rows.column("token").to_numpy().view(np.uint64)
     order = np.argsort(hot)
     hot, counts = hot[order], hot_rows.column("n").to_numpy()[order]
-    rows = known.select("text").mapInArrow(_prefixes(hot, counts), "token long, class long, n int")
-    shared = rows.repartition("token").sortWithinPartitions("token").mapInArrow(_shared, "token long, class long, n int")
-    shared = materialize(shared, "matrix")
+    # Hot shingles have several classes for sure, so only the others are dealt by shingle to find out, and none of those has many rows.
+    rows = known.select("text").mapInArrow(_prefixes(hot, counts), "token long, class long, n int, hot boolean")
+    dealt = rows.select(F.when(F.col("hot"), F.xxhash64("token", "class")).otherwise(F.col("token")).alias("k"), "token", "class", "n", "hot")
+    sorted_rows = dealt.repartition("k").drop("k").sortWithinPartitions("hot", "token")
+    shared = materialize(sorted_rows.mapInArrow(_shared_or_hot, "token long, class long, n int"), "matrix")
     by_group = shared.join(member.select(F.col("h1").alias("class"), "group_id", F.col("n").cast("int").alias("n")), ["class", "n"])
     matrix = materialize(by_group.groupBy("token", "group_id").agg(F.min("n").alias("lo"), F.max("n").alias("hi")), "group-matrix")
     # 3. bound
@@ -296,17 +336,17 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
     sized = pairs.join(sizes.withColumnRenamed("group_id", "g1").withColumnRenamed("m", "m1"), "g1").join(
         sizes.withColumnRenamed("group_id", "g2").withColumnRenamed("m", "m2"), "g2"
     )
-    # the smaller group is held, in parts if it is large
+    # the smaller group is held; either goes in parts if it is large
     sized = sized.select(
         F.when(F.col("m1") <= F.col("m2"), F.col("g1")).otherwise(F.col("g2")).alias("held_group"), F.when(F.col("m1") <= F.col("m2"), F.col("g2")).otherwise(F.col("g1")).alias("ask_group"),
-        F.ceil(F.least("m1", "m2") / HELD).cast("int").alias("parts"),
+        F.ceil(F.least("m1", "m2") / HELD).cast("int").alias("parts"), F.ceil(F.greatest("m1", "m2") / ASKED).cast("int").alias("ask_parts"),
     )
-    parted = sized.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    name = F.concat_ws("/", "held_group", "ask_group", "part").alias("task")
+    parted = sized.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("ask_part", F.explode(F.sequence(F.lit(0), F.col("ask_parts") - 1)))
+    name = F.concat_ws("/", "held_group", "ask_group", "part", "ask_part").alias("task")
     holds = parted.join(member.select(F.col("group_id").alias("held_group"), F.col("rep").alias("id")), "held_group").where(F.pmod(F.xxhash64("id"), F.col("parts")) == F.col("part"))
-    asks = parted.join(member.select(F.col("group_id").alias("ask_group"), F.col("rep").alias("id")), "ask_group")
+    asks = parted.join(member.select(F.col("group_id").alias("ask_group"), F.col("rep").alias("id")), "ask_group").where(F.pmod(F.xxhash64("id"), F.col("ask_parts")) == F.col("ask_part"))
     tasks = holds.select(name, F.lit(True).alias("held"), "id").union(asks.select(name, F.lit(False), "id"))
-    links = first_links.unionByName(open_tasks(known, tasks))
+    links = first_links.unionByName(open_tasks(known, tasks, one_link=True))
     components = connected_components(links).withColumnRenamed("id", "rep")
     named = classes.select("h1", "h2", "n", "rep").join(components, "rep", "left").select("h1", "h2", "n", F.coalesce("component", "rep").alias("c"))
     # documents of equal sets join the class's component; a large class is split by the adaptive skew join
