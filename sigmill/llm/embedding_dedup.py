@@ -6,10 +6,11 @@ spread; if the whole distance is within budget, at least one block's distance is
 share. So the join runs once per block, as a range join in few dimensions, and the union of what it
 finds holds every pair; each pair is then verified in double precision on the original vectors.
 
-Within a block, vectors are dealt into cells along the block's two widest directions (a cell is as
-wide as the block's reach, so partners are in the same or an adjacent cell); a cell with many rows is
-cut into tiles, and tile meets tile, so that no task holds an unbounded group. A pair that several
-blocks find is counted by the first of them only, which each task can tell by itself.
+Within a block, vectors are dealt into cells along the block's widest directions (a cell is as wide
+as the block's reach, so partners are in the same or an adjacent cell), more of them the more vectors
+there are: few cells send each vector to few tasks, many cells compare it with few others. A cell with
+many rows is cut into tiles, and tile meets tile, so that no task holds an unbounded group. A pair
+that several blocks find is counted by the first of them only, which each task can tell by itself.
 
 Equal vectors (by their exact components) are one class with a count, joined once.
 """
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +30,11 @@ from .common import bounded_sample, connected_components, materialize
 
 THRESHOLD = 0.95
 #: Dimensions of a block, and vectors from which the rotation is fitted (results do not depend on it).
-BLOCK, FIT_ROWS = 8, 5000
-#: Rows of a tile: two tiles are what one comparison holds.
-TILE = 4096
+BLOCK, FIT_ROWS = 16, 5000
+#: Rows of a tile of 64 dimensions (fewer of more): two tiles are what one comparison holds.
+TILE = 16_384
+#: Most directions that cells are cut along, and the cells of one that are counted on when their number is chosen.
+DIRECTIONS, SPLIT = 4, 4
 #: Rotated coordinates are whole multiples of 1/GRID, so that every task finds the same distances within blocks.
 GRID = 1 << 20
 #: Slack on squared distances for that rounding; verification is exact.
@@ -92,8 +96,20 @@ def _classes(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame,
     return rows, materialize(classes, "vectors")
 
 
-def _deal(rotation: Rotation):
-    """Batches of classes to one row for each block: rotated block's cell."""
+def tile_rows(dim: int) -> int:
+    return max(16, min(TILE, TILE * 64 // dim))
+
+
+def directions(n: int, tile: int) -> int:
+    """Along how many directions n vectors are cut: so many that a cell has about a tile of them."""
+    d = 1
+    while d < DIRECTIONS and n > tile * SPLIT**d:
+        d += 1
+    return d
+
+
+def _deal(rotation: Rotation, d: int):
+    """Batches of classes to one row for each block: the block's cell along its d widest directions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,15 +119,15 @@ def _deal(rotation: Rotation):
                 if not n:
                     continue
                 turned = turn(unit(_matrix(part.column(1))), rotation)
-                ids, blocks, xs, ys = [], [], [], []
+                ids, blocks, cells = [], [], []
                 for b in range(rotation.blocks):
                     reach = int(np.ceil(np.sqrt(rotation.budgets[b]) * GRID))
-                    c = rotation.cuts[b]
+                    own = turned[:, rotation.cuts[b] : min(rotation.cuts[b] + d, rotation.cuts[b + 1])] // reach
                     ids.append(part.column(0))
                     blocks.append(np.full(n, b, np.int32))
-                    xs.append((turned[:, c] // reach).astype(np.int32))
-                    ys.append((turned[:, c + 1] // reach).astype(np.int32) if rotation.cuts[b + 1] > c + 1 else np.zeros(n, np.int32))
-                yield pa.RecordBatch.from_arrays([pa.concat_arrays(ids), pa.array(np.concatenate(blocks)), pa.array(np.concatenate(xs)), pa.array(np.concatenate(ys))], names=["rep", "block", "x", "y"])
+                    cells.append(np.hstack([own, np.zeros((n, d - own.shape[1]), np.int64)]).astype(np.int32))
+                listed = pa.ListArray.from_arrays(pa.array(np.arange(0, n * d * rotation.blocks + 1, d, dtype=np.int32)), pa.array(np.concatenate(cells).ravel()))
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays(ids), pa.array(np.concatenate(blocks)), listed], names=["rep", "block", "cell"])
 
     return run
 
@@ -226,7 +242,8 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
 
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing, and
     so do vectors of different lengths with each other. Equal vectors link with each other; of rows
-    that repeat an id each counts. Other columns are not read; an empty table gives an empty result.
+    that repeat an id each counts. Very long vectors are compared whole, in smaller tiles. Other
+    columns are not read, whatever their names; an empty table gives an empty result.
     """
     rows, classes = _classes(vectors, id_col, vec_col)
     links = []
@@ -234,35 +251,35 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
         own = classes.where(F.col("dim") == dim)
         fitted = np.array([r["v"] for r in bounded_sample(own.select("rep", "v"), FIT_ROWS, "rep").collect()])
         rotation = fit_rotation(unit(fitted), dim, threshold)
-        dealt = own.select("rep", "v").mapInArrow(_deal(rotation), "rep long, block int, x int, y int")
+        tile = tile_rows(dim)
+        d = directions(own.count(), tile)
+        dealt = own.select("rep", "v").mapInArrow(_deal(rotation, d), "rep long, block int, cell array<int>")
         cells = materialize(dealt, "cells")
-        tiles = cells.groupBy("block", "x", "y").agg(F.ceil(F.count("*") / TILE).cast("int").alias("n_tiles"))
-        placed = cells.join(tiles, ["block", "x", "y"]).withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("n_tiles")).cast("int"))
-        # the cell itself and the four neighbours that come after it meet all pairs of cells once
-        steps = F.array(*(F.struct(F.lit(x).alias("dx"), F.lit(y).alias("dy")) for x, y in ((0, 0), (0, 1), (1, -1), (1, 0), (1, 1))))
-        other = tiles.select("block", F.col("x").alias("x2"), F.col("y").alias("y2"), F.col("n_tiles").alias("n_other"))
+        tiles = cells.groupBy("block", "cell").agg(F.ceil(F.count("*") / tile).cast("int").alias("n_tiles"))
+        placed = cells.join(tiles, ["block", "cell"]).withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("n_tiles")).cast("int"))
+        # the cell itself and the half of its neighbours that comes after it meet all pairs of cells once
+        after = [s for s in product((-1, 0, 1), repeat=d) if s >= (0,) * d]
+        steps = F.array(*(F.array(*map(F.lit, s)) for s in after))
+        other = tiles.select("block", F.col("cell").alias("cell2"), F.col("n_tiles").alias("n_other"))
         meet = (
             tiles.withColumn("s", F.explode(steps))
-            .select("block", "x", "y", "n_tiles", (F.col("x") + F.col("s.dx")).alias("x2"), (F.col("y") + F.col("s.dy")).alias("y2"))
-            .join(other, ["block", "x2", "y2"])
+            .select("block", "cell", "n_tiles", F.zip_with("cell", "s", lambda c, s: c + s).alias("cell2"))
+            .join(other, ["block", "cell2"])
         )
-        own_cell = (F.col("x") == F.col("x2")) & (F.col("y") == F.col("y2"))
+        own_cell = F.col("cell") == F.col("cell2")
         pairs = (
             meet.withColumn("t1", F.explode(F.sequence(F.lit(0), F.col("n_tiles") - 1)))
             .withColumn("t2", F.explode(F.sequence(F.when(own_cell, F.col("t1")).otherwise(F.lit(0)), F.col("n_other") - 1)))
             .select(
                 "block", (own_cell & (F.col("t1") == F.col("t2"))).alias("same"),
-                F.concat_ws(",", "block", "x", "y", "t1", "x2", "y2", "t2").alias("task"), "x", "y", "t1", "x2", "y2", "t2",
+                F.concat_ws(";", F.col("block").cast("string"), F.concat_ws(",", F.col("cell").cast("array<string>")), F.col("t1").cast("string"), F.concat_ws(",", F.col("cell2").cast("array<string>")), F.col("t2").cast("string")).alias("task"),
+                "cell", "t1", "cell2", "t2",
             )
         )
-        sides = pairs.select(
-            "task", "block", "same",
-            F.explode(
-                F.when(F.col("same"), F.array(F.struct(F.lit(0).alias("side"), "x", "y", F.col("t1").alias("tile"))))
-                .otherwise(F.array(F.struct(F.lit(0).alias("side"), "x", "y", F.col("t1").alias("tile")), F.struct(F.lit(1).alias("side"), F.col("x2").alias("x"), F.col("y2").alias("y"), F.col("t2").alias("tile"))))
-            ).alias("c"),
-        ).select("task", "block", "same", "c.*")
-        sent = placed.join(sides, ["block", "x", "y", "tile"]).select("task", "block", "same", "side", "rep")
+        one = F.struct(F.lit(0).alias("side"), F.col("cell"), F.col("t1").alias("tile"))
+        two = F.struct(F.lit(1).alias("side"), F.col("cell2").alias("cell"), F.col("t2").alias("tile"))
+        sides = pairs.select("task", "block", "same", F.explode(F.when(F.col("same"), F.array(one)).otherwise(F.array(one, two))).alias("c")).select("task", "block", "same", "c.*")
+        sent = placed.join(sides, ["block", "cell", "tile"]).select("task", "block", "same", "side", "rep")
         full = sent.join(own.select("rep", "copies", "v"), "rep").select("task", "block", "same", "side", "rep", "copies", "v")
         full = full.repartition("task").sortWithinPartitions("task")
         links.append(full.mapInArrow(_compare(rotation, threshold), "kind int, a long, b long"))
