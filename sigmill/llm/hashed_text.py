@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from .common import CHUNK_BYTES, bounded_sample, mix64, window_hashes
 
 _POINTS = 0x110000
+#: Stands between texts whose features are taken together; no character.
+SEP = 0x10FFFF
 
 
 def _one(c: int, f: Callable[[str], str]) -> int:
@@ -29,8 +31,8 @@ IS_LETTER = np.array([chr(c).isalpha() for c in range(_POINTS)])
 IS_SPACE = np.array([chr(c).isspace() for c in range(_POINTS)])
 
 
-def code_points(texts: list[str | None], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Runs of texts as (first, end, code points, starts): a line feed stands before each text and after the last; starts are those of the texts, with the end of the last."""
+def code_points(texts: list[str | None], limit: int = CHUNK_BYTES, mark: str = "\n") -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of texts as (first, end, code points, starts): a mark stands before each text and after the last; starts are those of the texts, with the end of the last."""
     i = 0
     while i < len(texts):
         j, size = i, 0
@@ -38,7 +40,7 @@ def code_points(texts: list[str | None], limit: int = CHUNK_BYTES) -> Iterator[t
             size += len(texts[j] or "")
             j += 1
         run = [t or "" for t in texts[i:j]]
-        points = np.frombuffer(("\n" + "\n".join(run) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
+        points = np.frombuffer((mark + mark.join(run) + mark).encode("utf-32-le", "surrogatepass"), np.uint32)
         starts = np.cumsum([1, *(len(t) + 1 for t in run)])
         yield i, j, points, starts
         i = j
@@ -67,19 +69,24 @@ def subword_grams(points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]
 def style_grams(points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(position, hash) of 1- to 3-grams of the kinds of characters (lower and upper case letters, white space; others stand for themselves), the
     words' lengths, and a mark where a word repeats the one before it."""
-    space = IS_SPACE[points]
+    sep = points == SEP
+    space = IS_SPACE[points] | sep
     # letters count by their case alone, so that style is learned rather than vocabulary
     letter = IS_LETTER[points]
     upper = letter & (LOWER[points] != points)
     symbols = np.where(space, 1, np.where(upper, 2, np.where(letter, 3, points))).astype(np.uint64)
     for n in (1, 2, 3):
         if len(symbols) >= n:
-            yield np.arange(len(symbols) - n + 1), window_hashes(symbols, n) + np.uint64(n)
+            # a text's ends count, but nothing beyond them: what stands in a run does not depend on the texts around
+            middle = ~sep if n == 1 else ~(sep[:-1] & sep[1:]) if n == 2 else ~sep[1:-1]
+            k = np.flatnonzero(middle)
+            yield k, window_hashes(symbols, n)[k] + np.uint64(n)
     starts = np.flatnonzero(~space[1:] & space[:-1]) + 1
     ends = np.flatnonzero(space[1:] & ~space[:-1]) + 1
     flat = np.concatenate([[np.uint64(0)], np.cumsum(mix64(points.astype(np.uint64) + np.uint64(7)))])
     word = flat[ends] - flat[starts]
-    same = np.flatnonzero(word[1:] == word[:-1]) + 1
+    text = np.cumsum(sep)[starts]
+    same = np.flatnonzero((word[1:] == word[:-1]) & (text[1:] == text[:-1])) + 1
     yield starts[same], np.full(len(same), 11, np.uint64)
     yield starts, mix64((ends - starts).astype(np.uint64) // np.uint64(4))
 
@@ -95,12 +102,12 @@ def word_grams(points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     sums, flat = (np.concatenate([[np.uint64(0)], np.cumsum(x)]) for x in (mix64(low) * order, mix64(low)))
     words = mix64(sums[ends] - sums[starts] - (flat[ends] - flat[starts]) * (starts.astype(np.uint64) * np.uint64(2)) + np.uint64(17))
     yield starts, words
-    if len(words) > 1:
-        joined = np.add.reduceat(points == 10, starts)[:-1] == 0  # no line feed between: a text's last word is not next to another text's first
-        yield starts[1:][joined], mix64(words[:-1] * np.uint64(3) + words[1:])[joined]
+    text = np.cumsum(points == SEP)[starts]
+    joined = text[1:] == text[:-1]
+    yield starts[1:][joined], mix64(words[:-1] * np.uint64(3) + words[1:])[joined]
     if len(low) >= 4:
         inside = np.cumsum(~word)
-        k = np.flatnonzero(inside[3:] == np.concatenate([[0], inside[:-4]])) if len(low) > 4 else np.zeros(0, np.int64)
+        k = np.flatnonzero(inside[3:] == np.concatenate([[0], inside[:-4]]))
         yield k, window_hashes(low, 4)[k] + np.uint64(19)
 
 
@@ -117,9 +124,9 @@ def text_sums(texts: list[str | None], weights: np.ndarray, grams: Grams) -> tup
     wide = weights.reshape(len(weights), -1)
     mask = np.uint64(len(weights) - 1)
     total, count = np.zeros((len(texts), wide.shape[1])), np.zeros(len(texts))
-    for i, j, points, starts in code_points(texts):
+    for i, j, points, starts in code_points(texts, mark=chr(SEP)):
         for at, hashes in grams(points):
-            # a gram belongs to the text in which it ends; marks before the first character count with it
+            # a gram belongs to the text in which it starts; the mark before the first character counts with it
             ids = (mix64(hashes) & mask).astype(np.int64)
             cut = np.searchsorted(at, starts - 1)
             count[i:j] += np.diff(cut)
@@ -131,7 +138,7 @@ def text_sums(texts: list[str | None], weights: np.ndarray, grams: Grams) -> tup
 
 def text_features(text: str | None, buckets: int, grams: Grams) -> tuple[np.ndarray, np.ndarray]:
     """The distinct buckets of one text and their counts."""
-    _, _, points, _ = next(code_points([text]))
+    _, _, points, _ = next(code_points([text], mark=chr(SEP)))
     ids = [(mix64(h) & np.uint64(buckets - 1)).astype(np.int64) for _, h in grams(points)]
     return np.unique(np.concatenate(ids), return_counts=True) if ids else (np.zeros(0, np.int64),) * 2
 

@@ -2,7 +2,8 @@
 
 P(grade <= k) = logistic(threshold_k - x.w): one vector of weights over hashed text features is
 shared by all grades, and ordered thresholds cut its scale. Expected grade and the probability of
-the upper tail follow from it.
+the upper tail follow from it. Features are words, pairs of words and letter 4-grams, and the kinds
+of characters that stand together (``word_grams``).
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import held_out, schema_with
-from .hashed_text import Sample, adam, add_up, labelled_sample, style_grams, text_sums
+from .hashed_text import Sample, adam, add_up, labelled_sample, text_sums, word_grams
 
 BUCKETS = 1 << 16
 TRAIN_ROWS, EPOCHS, BATCH, RATE = 6000, 20, 256, 0.05
@@ -70,20 +71,21 @@ def train(sample: Sample, buckets: int = BUCKETS, epochs: int = EPOCHS, seed: in
 
 
 def predict(texts: list[str | None], model: Model) -> np.ndarray:
-    total, count = text_sums(texts, SCALE * model.weights, style_grams)
+    total, count = text_sums(texts, SCALE * model.weights, word_grams)
     return model.distribution(total[:, 0] / np.maximum(count, 1))
 
 
 def fit(docs: DataFrame, labels: DataFrame, grade: str = "quality", rows: int = TRAIN_ROWS) -> Model:
-    return train(labelled_sample(docs, labels, grade, ~held_out(), rows, BUCKETS, style_grams))
+    return train(labelled_sample(docs, labels, grade, ~held_out(), rows, BUCKETS, word_grams))
 
 
 def grade(docs: DataFrame, model: Model, text_col: str = "text", tail_from: float | None = None, keep: float = KEEP) -> DataFrame:
     """``docs`` with expected_grade, tail_prob (of grades of at least ``tail_from``, by default the best) and keep appended.
 
-    Null and empty texts have only the marks of their ends as features and are graded by them. Every
-    row stays, repeated ones too; other columns pass, those of the three names are replaced; an empty
-    table gives an empty result.
+    Null and empty texts have no features and are graded by the thresholds alone. Very
+    long texts are graded whole. Every row stays, repeated ones too, and equal texts have equal
+    grades; other columns pass, those of the three names are replaced; an empty table gives an empty
+    result.
     """
     docs = docs.drop("expected_grade", "tail_prob", "keep")
     at = docs.columns.index(text_col)
