@@ -46,7 +46,6 @@ _TOKEN = r"\p{N}+(?:[.,:/]\p{N}+)*|[\p{L}\p{M}]+|[%$€£]"
 _NUMBER = r"\p{N}+(?:[.,:/]\p{N}+)*"
 _NAME = r"(?<![\p{L}\p{M}])\p{Lu}[\p{L}\p{M}]*"
 _UNIT = r"(?<= 0 {1,2})(?:" + "|".join(sorted(UNITS, key=lambda u: (-len(u), u))) + r")(?![\p{L}\p{M}])|[%$€£]"
-_SLOT = r"(?<![^ ])[012](?![^ ])"
 
 
 def _marked(text: Column) -> Column:
@@ -150,7 +149,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     items = (
         read_windows(bench, "item_text", "item_at", any_case)
         .withColumnsRenamed({"reading": "item_reading", "raw": "item_raw"})
-        .where(F.size(F.split(F.regexp_replace("w", _SLOT + " ?", ""), " ")) >= LITERALS)
+        .where(F.size(F.filter(F.split("w", " "), lambda t: ~t.isin("0", "1", "2"))) >= LITERALS)
         .dropDuplicates(["item_id", "item_at", "w", "item_reading"])
     )
     # Written once: it is read several times, and its filter would be inferred for the documents' windows too.
