@@ -29,8 +29,61 @@ BASE_PHRASES = {
     "general public license": "gpl",
 }
 
-# Label and markup of each template; the wording is that of the public license notices.
+_WARRANTY = (
+    "software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement "
+    "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with "
+    "the software or the use or other dealings in the software"
+)
+_BSD_HEAD = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met "
+    "[[1]] redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+    "[[2]] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"
+)
+_BSD_TAIL = (
+    "this software is provided by {{8}} as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed "
+    "in no event shall {{12}} be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data "
+    "or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this "
+    "software even if advised of the possibility of such damage"
+)
+
+# Label and markup of each template: whole licenses first, then notices; the wording is that of the public license texts.
 TEMPLATES = (
+    (
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including "
+        "without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to "
+        "the following conditions the above copyright notice and this permission notice [[including the next paragraph]] shall be included in all copies or substantial portions of the software the " + _WARRANTY,
+    ),
+    (
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all "
+        "copies the software is provided as is and {{6}} disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall {{6}} be liable "
+        "for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action "
+        "arising out of or in connection with the use or performance of this software",
+    ),
+    ("bsd-2-clause", f"{_BSD_HEAD} {_BSD_TAIL}"),
+    (
+        "bsd-3-clause",
+        f"{_BSD_HEAD} [[3]] neither the name of {{{{12}}}} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission {_BSD_TAIL}",
+    ),
+    (
+        "zlib",
+        "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to "
+        "anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions 1 the origin of this software must "
+        "not be misrepresented you must not claim that you wrote the original software if you use this software in a product an acknowledgment in the product documentation would be appreciated but is not "
+        "required 2 altered source versions must be plainly marked as such and must not be misrepresented as being the original software 3 this notice may not be removed or altered from any source distribution",
+    ),
+    (
+        "unlicense",
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled "
+        "binary for any purpose commercial or non commercial and by any means",
+    ),
+    (
+        "apache-2.0",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at {{12}} unless required by applicable "
+        "law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the "
+        "specific language governing permissions and limitations under the license",
+    ),
     ("apache-2.0", "licensed under the apache license [[version]] 2 0 [[the license]]"),
     ("mit-notice", "permission is hereby granted free of charge to any person obtaining a copy of this software {{12}} to deal in the software without restriction"),
     ("mit-notice", "[[this {{4}} is]] released under the mit license"),
@@ -59,11 +112,10 @@ class TokenAutomaton:
     """All templates in one nondeterministic automaton; states are numbered through all of them."""
 
     def __init__(self, templates: Iterable[tuple[str, str]]):
-        self.on_word: dict[str, list[tuple[int, int]]] = {}  # word -> (from, to)
+        self.on_word: dict[str, dict[int, list[int]]] = {}  # word -> from -> to
         self.on_any: dict[int, int] = {}  # state -> state, for replaceable words
         self.skips: dict[int, list[int]] = {}  # moves that read nothing
         self.accepts: dict[int, str] = {}
-        self.first_words: set[bytes] = set()
         self._n = 0
         starts = []
         for label, markup in templates:
@@ -71,9 +123,8 @@ class TokenAutomaton:
             starts.append(start)
             self.accepts[self._compile(markup, start)] = label
         self.start = frozenset(x for s in starts for x in self._closure({s}))
-        for word, moves in self.on_word.items():
-            if any(a in self.start for a, _ in moves):
-                self.first_words.add(word.encode())
+        self.begins = {word: {to for a in moves.keys() & self.start for to in moves[a]} for word, moves in self.on_word.items()}
+        self.first_words = {word.encode() for word, to in self.begins.items() if to}
 
     def _state(self) -> int:
         self._n += 1
@@ -100,7 +151,7 @@ class TokenAutomaton:
                 at = end
             else:
                 to = self._state()
-                self.on_word.setdefault(token, []).append((at, to))
+                self.on_word.setdefault(token, {}).setdefault(at, []).append(to)
                 at = to
         if open_at:
             raise ValueError(f"an optional region is not closed: {markup}")
@@ -119,10 +170,12 @@ class TokenAutomaton:
         found: set[str] = set()
         active: set[int] = set()
         for word in words:
-            moves = self.on_word.get(word, ())
+            moves = self.on_word.get(word)
             if not moves and not active:
                 continue
-            after = {to for a, to in moves if a in active or a in self.start}
+            after = set(self.begins[word]) if moves else set()
+            if moves and active:
+                after.update(to for a in active if a in moves for to in moves[a])
             after.update(self.on_any[a] for a in active if a in self.on_any)
             active = self._closure(after)
             found.update(self.accepts[a] for a in active if a in self.accepts)
@@ -165,7 +218,8 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     The score is 1 if a template is accepted, 0.5 if only base phrases stand in the text, else 0.
     Null and empty texts have no words, no labels, score 0 and null places; repeated rows and null
-    ids stay, one result each; an empty table gives an empty result; other columns are not read.
+    ids stay, one result each, equal texts equal results; very long texts are read whole; an empty table
+    gives an empty result; other columns are not read, whatever their names.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
