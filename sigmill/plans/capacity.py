@@ -7,7 +7,7 @@ import json
 from dataclasses import asdict, dataclass
 from math import ceil
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 GIB = 1 << 30
@@ -45,60 +45,80 @@ class Assumptions:
     ebs_gib_per_node: float = 512
 
 
-def shards(gib: float, target: float) -> int:
-    return max(1, ceil(gib / target))
+class Numbers:
+    """How the formulas compute on plain numbers."""
+
+    up, most, least = staticmethod(ceil), staticmethod(max), staticmethod(min)
+
+
+class Columns:
+    """How they compute on columns."""
+
+    @staticmethod
+    def _column(x) -> Column:
+        return x if isinstance(x, Column) else F.lit(x)
+
+    @classmethod
+    def up(cls, x) -> Column:
+        return F.ceil(cls._column(x)).cast("long")
+
+    @classmethod
+    def most(cls, *x) -> Column:
+        return F.greatest(*(cls._column(v).cast("long") for v in x))
+
+    @classmethod
+    def least(cls, *x) -> Column:
+        return F.least(*(cls._column(v).cast("double") for v in x))
+
+
+def sizes(w, on: type[Numbers] | type[Columns], node_type: str, a: Assumptions) -> dict:
+    """What a workload (its numbers, or columns, by name) needs: the one place of the formulas, for single plans and tables."""
+    vcpu, memory, _ = NODE_TYPES[node_type]
+    heap = min(32.0, memory * a.heap_fraction)
+    copies, days = w("replicas") + 1, w("retention_days") + 1  # tomorrow's index is there already
+    gib = w("entities_per_day") * w("doc_bytes") * a.index_overhead / GIB
+    upserts = on.least(w("events_per_sec"), w("entities_per_day") / w("trigger_seconds"))
+    shards = lambda part: on.most(1, on.up(part / a.target_shard_gib))
+    tenants = w("dedicated_tenants")
+    per_day = shards(gib * (1 - w("dedicated_share"))) + tenants * shards(gib * w("dedicated_share") / on.most(tenants, 1))
+    total = per_day * days * copies
+    storage = gib * days * copies / a.disk_headroom
+    needs = {
+        "nodes_by_storage": on.up(storage / a.ebs_gib_per_node), "nodes_by_shards": on.up(total / (heap * a.max_shards_per_gib_heap)),
+        "nodes_by_ingest": on.up(upserts * copies / (vcpu * a.docs_per_sec_per_vcpu)),
+    }
+    return {"gib": gib, "upserts": upserts, "shards_per_day": per_day, "primaries": per_day * days, "total_shards": total, "storage": storage, **needs, "data_nodes": on.most(*needs.values(), copies)}
+
+
+# What binds, by need; of equal needs the first one here.
+BOTTLENECKS = {"nodes_by_ingest": "ingest", "nodes_by_shards": "shards", "nodes_by_storage": "storage"}
+FLOOR = "replica floor"
 
 
 def plan(w: Workload, node_type: str = "r6g.large.search", a: Assumptions = Assumptions(), hourly: float | None = None) -> dict:
     if w.replicas < 0 or min(w.retention_days, w.entities_per_day) < 1:
         raise ValueError("replicas must not be negative, retention and entities at least 1")
-    vcpu, memory, price = NODE_TYPES[node_type]
-    copies, days = 1 + w.replicas, w.retention_days + 1  # tomorrow's index is there already
-    gib = w.entities_per_day * w.doc_bytes * a.index_overhead / GIB
-    upserts = min(w.events_per_sec, w.entities_per_day / w.trigger_seconds)
-    own = gib * w.dedicated_share / w.dedicated_tenants if w.dedicated_tenants else 0.0
-    per_day = shards(gib * (1 - w.dedicated_share), a.target_shard_gib) + w.dedicated_tenants * shards(own, a.target_shard_gib)
-    storage = gib * days * copies / a.disk_headroom
-    needs = {
-        "storage": ceil(storage / a.ebs_gib_per_node),
-        "shards": ceil(per_day * days * copies / (min(32.0, memory * a.heap_fraction) * a.max_shards_per_gib_heap)),
-        "ingest": ceil(upserts * copies / (vcpu * a.docs_per_sec_per_vcpu)),
-    }
-    nodes = max(*needs.values(), copies)
-    instance = nodes * (price if hourly is None else hourly) * HOURS
-    disk = nodes * a.ebs_gib_per_node * STORAGE_PRICE
+    s, price = sizes(lambda name: getattr(w, name), Numbers, node_type, a), NODE_TYPES[node_type][2] if hourly is None else hourly
+    money = {"instance": s["data_nodes"] * price * HOURS, "storage": s["data_nodes"] * a.ebs_gib_per_node * STORAGE_PRICE}
     return {
-        "docs_per_day": w.entities_per_day, "upserts_per_sec": round(upserts, 1), "primary_gib_per_day": round(gib, 3), "shards_per_day": per_day,
-        "total_primary_shards": per_day * days, "total_shards": per_day * days * copies, "storage_gib": round(storage, 1),
-        **{f"nodes_by_{k}": v for k, v in needs.items()}, "data_nodes": nodes,
-        # of equal needs the last one named binds
-        "bottleneck": next((k for k in reversed(needs) if needs[k] == nodes), "replica floor"),
-        "shards_per_node": round(per_day * days * copies / nodes, 1), "node_type": node_type, "monthly_instance_usd": round(instance, 2),
-        "monthly_storage_usd": round(disk, 2), "monthly_usd": round(instance + disk, 2),
+        "docs_per_day": w.entities_per_day, "upserts_per_sec": round(s["upserts"], 1), "primary_gib_per_day": round(s["gib"], 3), "total_primary_shards": s["primaries"], "storage_gib": round(s["storage"], 1),
+        **{k: s[k] for k in ("shards_per_day", "total_shards", "nodes_by_storage", "nodes_by_shards", "nodes_by_ingest", "data_nodes")},
+        "bottleneck": next((what for need, what in BOTTLENECKS.items() if s[need] == s["data_nodes"]), FLOOR),
+        "shards_per_node": round(s["total_shards"] / s["data_nodes"], 1), "node_type": node_type,
+        **{f"monthly_{k}_usd": round(v, 2) for k, v in money.items()}, "monthly_usd": round(sum(money.values()), 2),
     }
 
 
 def grid(workloads: DataFrame, node_type: str = "r6g.large.search", a: Assumptions = Assumptions()) -> DataFrame:
-    """The plan's sizes for a table of workloads (events_per_sec, entities_per_day, retention_days, replicas, doc_bytes), without dedicated tenants."""
-    vcpu, memory, _ = NODE_TYPES[node_type]
-    copies, days = F.col("replicas") + 1, F.col("retention_days") + 1
-    up = lambda x: F.ceil(x).cast("long")
-    out = workloads.withColumns(
-        {
-            "gib": F.col("entities_per_day") * F.col("doc_bytes") * a.index_overhead / GIB,
-            "upserts": F.least(F.col("events_per_sec").cast("double"), F.col("entities_per_day") / 10.0),
-        }
-    ).withColumn("total_shards", F.greatest(F.lit(1), up(F.col("gib") / a.target_shard_gib)) * days * copies)
-    out = out.withColumns(
-        {
-            "nodes_by_storage": up(F.col("gib") * days * copies / a.disk_headroom / a.ebs_gib_per_node),
-            "nodes_by_shards": up(F.col("total_shards") / (min(32.0, memory * a.heap_fraction) * a.max_shards_per_gib_heap)),
-            "nodes_by_ingest": up(F.col("upserts") * copies / (vcpu * a.docs_per_sec_per_vcpu)),
-        }
-    )
-    nodes = F.greatest("nodes_by_storage", "nodes_by_shards", "nodes_by_ingest", copies.cast("long"))
-    which = F.when(nodes == F.col("nodes_by_ingest"), "ingest").when(nodes == F.col("nodes_by_shards"), "shards").when(nodes == F.col("nodes_by_storage"), "storage").otherwise("replica floor")
-    return out.withColumns({"data_nodes": nodes, "bottleneck": which}).drop("gib", "upserts")
+    """The plan's sizes for a table of workloads; a column that is missing has the workload's default."""
+    default = Workload(0, 1)
+    w = lambda name: F.col(name) if name in workloads.columns else F.lit(getattr(default, name))
+    s = sizes(w, Columns, node_type, a)
+    out = workloads.withColumns({k: s[k].cast("long") for k in ("total_shards", "nodes_by_storage", "nodes_by_shards", "nodes_by_ingest", "data_nodes")})
+    which = F.lit(FLOOR)
+    for need, what in reversed(BOTTLENECKS.items()):
+        which = F.when(F.col(need) == F.col("data_nodes"), what).otherwise(which)
+    return out.withColumn("bottleneck", which)
 
 
 def main(args: list[str] | None = None) -> None:
