@@ -25,10 +25,10 @@ def _one(c: int, f: Callable[[str], str]) -> int:
 
 
 # By code point, all of Unicode.
-LOWER = np.array([_one(c, str.lower) for c in range(_POINTS)], np.uint32)
-IS_WORD = np.array([chr(c).isalnum() for c in range(_POINTS)])
-IS_LETTER = np.array([chr(c).isalpha() for c in range(_POINTS)])
-IS_SPACE = np.array([chr(c).isspace() for c in range(_POINTS)])
+LOWER = np.fromiter((_one(c, str.lower) for c in range(_POINTS)), np.uint32, _POINTS)
+IS_WORD = np.fromiter((chr(c).isalnum() for c in range(_POINTS)), bool, _POINTS)
+IS_LETTER = np.fromiter((chr(c).isalpha() for c in range(_POINTS)), bool, _POINTS)
+IS_SPACE = np.fromiter((chr(c).isspace() for c in range(_POINTS)), bool, _POINTS)
 
 
 def code_points(texts: list[str | None], limit: int = CHUNK_BYTES, mark: str = "\n") -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -77,8 +77,8 @@ def style_grams(points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     symbols = np.where(space, 1, np.where(upper, 2, np.where(letter, 3, points))).astype(np.uint64)
     for n in (1, 2, 3):
         if len(symbols) >= n:
-            # a text's ends count, but nothing beyond them: what stands in a run does not depend on the texts around
-            middle = ~sep if n == 1 else ~(sep[:-1] & sep[1:]) if n == 2 else ~sep[1:-1]
+            # a text's ends count (alone, the mark before it), but nothing beyond them: features do not depend on the texts around
+            middle = np.arange(len(sep)) < len(sep) - 1 if n == 1 else ~(sep[:-1] & sep[1:]) if n == 2 else ~sep[1:-1]
             k = np.flatnonzero(middle)
             yield k, window_hashes(symbols, n)[k] + np.uint64(n)
     starts = np.flatnonzero(~space[1:] & space[:-1]) + 1
@@ -198,16 +198,24 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, use: Column,
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     got = texts.mapInArrow(run, f"doc_id {kind}, label double, ids binary, counts binary").toArrow()
-    got = got.take(pa.compute.sort_indices(got, [("doc_id", "ascending"), ("label", "ascending")])) if len(got) else got
+    got = got.take(pa.compute.sort_indices(got, [("doc_id", "ascending"), ("label", "ascending")])).combine_chunks() if len(got) else got
     labels_of = np.array(got.column("label").to_pylist(), float)
-    sizes = [len(x.as_buffer() or b"") for c in got.column("counts").chunks for x in c]
-    ids = np.frombuffer(b"".join(x.as_py() for c in got.column("ids").chunks for x in c), kind_of_id)
-    counts = np.frombuffer(b"".join(x.as_py() for c in got.column("counts").chunks for x in c), np.uint8)
-    starts = np.cumsum([0, *sizes])
+    ids, _ = _joined(got.column("ids"), kind_of_id)
+    counts, starts = _joined(got.column("counts"), np.uint8)
     totals = np.diff(np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])[starts])
     return Sample(starts, ids, counts, 1 / np.maximum(totals + prior, 1), labels_of)
 
 
+def _joined(column: pa.ChunkedArray, kind: object) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all rows as numbers, where they lie, and the bounds of the rows in bytes."""
+    if not len(column):
+        return np.zeros(0, kind), np.zeros(1, np.int64)
+    chunk = column.chunk(0).cast(pa.large_binary())
+    bounds = np.frombuffer(chunk.buffers()[1], np.int64)[chunk.offset : chunk.offset + len(chunk) + 1]
+    data = np.frombuffer(chunk.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+    return data.view(kind), bounds - bounds[0]
+
+
 def adam(params: list[np.ndarray], rate: float) -> Callable[[list[np.ndarray]], None]:
     """An in-place Adam step for ``params``."""
     first, second, t = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0

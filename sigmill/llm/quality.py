@@ -82,7 +82,7 @@ def fit(docs: DataFrame, labels: DataFrame, grade: str = "quality", rows: int =
 def grade(docs: DataFrame, model: Model, text_col: str = "text", tail_from: float | None = None, keep: float = KEEP) -> DataFrame:
     """``docs`` with expected_grade, tail_prob (of grades of at least ``tail_from``, by default the best) and keep appended.
 
-    Null and empty texts have no features and are graded by the thresholds alone. Very
+    Null and empty texts have only the mark before them as a feature and are graded by it. Very
     long texts are graded whole. Every row stays, repeated ones too, and equal texts have equal
     grades; other columns pass, those of the three names are replaced; an empty table gives an empty
     result.
