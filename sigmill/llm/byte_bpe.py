@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _BASE, _BASE_INVERSE, _power, mix64, schema_with, span_hashes, text_chunks
+from .common import _BASE, _BASE_INVERSE, _power, materialize, mix64, schema_with, span_hashes, text_chunks
 
 #: Documents whose words fill the memo (about), its most words, and the longest of them in bytes.
 MEMO_DOCS, MEMO_WORDS, MEMO_BYTES = 20_000, 200_000, 64
@@ -217,13 +217,12 @@ class Memo:
     ids: np.ndarray
 
     @classmethod
-    def of(cls, words: list[bytes], ids: list[np.ndarray]) -> Memo:
-        ends = np.cumsum([len(w) for w in words])
-        data = np.frombuffer(b"".join(words), np.uint8)
-        hashes = word_hashes(data, np.concatenate([[0], ends[:-1]]).astype(np.int64), ends)
+    def of(cls, data: np.ndarray, bounds: np.ndarray, ids: np.ndarray, id_bounds: np.ndarray) -> Memo:
+        """Of words and ids that stand one after another."""
+        hashes = word_hashes(data, bounds[:-1], bounds[1:])
         order = np.argsort(hashes[:, 0], kind="stable")
-        sizes = np.array([len(x) for x in ids])[order]
-        return cls(hashes[order, 0], hashes[order, 1], np.cumsum([0, *sizes]), np.concatenate([ids[k] for k in order]).astype(np.uint32))
+        sizes = np.diff(id_bounds)[order]
+        return cls(hashes[order, 0], hashes[order, 1], np.concatenate([[0], np.cumsum(sizes)]), ids[ragged(id_bounds[:-1][order], sizes)].astype(np.uint32))
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The place of each word, or -1."""
@@ -461,12 +460,16 @@ class Codec:
         self.tables = spark.sparkContext.broadcast(Tables.of(v))
         pairs, tokens = v.merges()
         self._pairs, self._tokens = constant(spark, pairs, "array<string>"), constant(spark, tokens, "array<string>")
-        self._pieces_hex = constant(spark, v.pieces_hex(), "array<string>")
-        self._set_memo([], [])
+        self._set_memo(np.zeros(0, np.uint8), np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64))
 
-    def _set_memo(self, words: list[bytes], ids: list[np.ndarray]) -> None:
-        own = [*self.vocabulary.ranks.items()]
-        self.memo = self.spark.sparkContext.broadcast(Memo.of([w for w, _ in own] + words, [np.array([r]) for _, r in own] + ids))
+    def _set_memo(self, data: np.ndarray, bounds: np.ndarray, ids: np.ndarray, id_bounds: np.ndarray) -> None:
+        """The vocabulary's own words, and others that stand one after another."""
+        own = self.vocabulary.ranks
+        own_bounds, n = np.cumsum([0, *map(len, own)]), len(own)
+        words = np.concatenate([np.frombuffer(b"".join(own), np.uint8), data])
+        starts = np.concatenate([np.arange(n), id_bounds + n])
+        memo = Memo.of(words, np.concatenate([own_bounds[:-1], bounds + own_bounds[-1]]), np.concatenate([np.fromiter(own.values(), np.int64, n), ids]), starts)
+        self.memo = self.spark.sparkContext.broadcast(memo)
 
     def _folded(self, df: DataFrame, text_col: str) -> DataFrame:
         """``df`` without the text, with the codes and the folded other words of each row at the end."""
@@ -486,15 +489,14 @@ class Codec:
         sample = docs.select(F.col(text_col).alias("t"), F.xxhash64(id_col, F.lit(41)).alias("h"))
         sample = sample.where(F.pmod("h", F.lit(1 << 40)) < int(share * (1 << 40))).select("t") if share < 1 else sample.select("t")
         counts = sample.mapInArrow(_count_words, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n")).where("n > 1")
-        top = counts.orderBy(F.desc("n"), "w").limit(MEMO_WORDS).select("w").toArrow().column("w")
-        words = [w for w in top.to_pylist() if w not in self.vocabulary.ranks]
-        if not words:
-            return
-        # words are encoded as texts of one word each, dealt over the tasks
-        rows = self.spark.createDataFrame(pa.table({"k": pa.array(range(len(words))), "text": pa.array([w.decode() for w in words])})).repartition(32, "k")
-        got = self.encode(rows).select("k", "token_ids").toArrow().to_pydict()
-        by = dict(zip(got["k"], got["token_ids"], strict=True))
-        self._set_memo(words, [np.array(by[k]) for k in range(len(words))])
+        top = materialize(counts.orderBy(F.desc("n"), "w").limit(MEMO_WORDS).select("w"), "words")
+        # words are encoded as texts of one word each, dealt over the tasks; a word of the vocabulary is one token either way
+        got = self.encode(top.select("w", F.col("w").cast("string").alias("text")).repartition(32, "w")).toArrow().combine_chunks()
+        if len(got):
+            words, ids = (got.column(c).chunk(0) for c in ("w", "token_ids"))
+            bounds, id_bounds = _offsets(words), _offsets(ids)
+            data = np.frombuffer(words.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
+            self._set_memo(data, bounds - bounds[0], ids.flatten().to_numpy(), id_bounds - id_bounds[0])
 
     def encode(self, df: DataFrame, text_col: str = "text", name: str = "token_ids") -> DataFrame:
         """The ids of a text (array of bigint; empty for null) in place of the text, as column ``name`` at the end."""
@@ -507,7 +509,7 @@ class Codec:
     def decode(self, df: DataFrame, ids_col: str = "token_ids", name: str = "decoded") -> DataFrame:
         """Add the bytes that the ids stand for: the binary pieces, one after another."""
         rest = [c for c in df.columns if c != name]
-        pieces = df.select("*", self._pieces_hex.alias("_bpe_pieces"))
+        pieces = df.select("*", constant(self.spark, self.vocabulary.pieces_hex(), "array<string>").alias("_bpe_pieces"))
         joined = let(F.col("_bpe_pieces"), lambda p: F.unhex(F.array_join(F.transform(ids_col, lambda t: F.get(p, t)), "")))
         return pieces.select(*rest, joined.alias(name))
 
