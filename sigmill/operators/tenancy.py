@@ -49,6 +49,10 @@ def list_indices(names: list[str], pattern: str) -> list[str]:
     return sorted(n for n in names if fnmatch.fnmatchcase(n, pattern))
 
 
+#: Parts in which a tenant's entities of a day are ranked first.
+PARTS = 64
+
+
 @dataclass
 class Quota:
     """Most distinct entities of a tenant in a day; 0 or less is no limit."""
@@ -63,14 +67,23 @@ class Quota:
         return out
 
     def admit(self, docs: DataFrame, admitted: DataFrame | None = None) -> DataFrame:
-        """Rows of admitted entities: those in ``admitted`` (tenant_id, day, entity_id) first, then by entity id."""
+        """Rows of admitted entities: those in ``admitted`` (tenant_id, day, entity_id) first, then by entity id.
+
+        Only the distinct entities are ranked, first in PARTS parts of a tenant's day, so that no task
+        sorts a whole large tenant; of each part at most the quota goes on to the last ranking.
+        """
         key = ["tenant_id", "day"]
-        if admitted is None:
-            ranked = docs.withColumn("_r", F.dense_rank().over(Window.partitionBy(*key).orderBy("entity_id")))
-        else:
-            known = admitted.select(*key, "entity_id").distinct().withColumn("_known", F.lit(0))
-            before = known.groupBy(*key).agg(F.count("*").alias("_n"))
-            ranked = docs.join(known, [*key, "entity_id"], "left").join(before, key, "left")
-            new = F.dense_rank().over(Window.partitionBy(*key, F.coalesce("_known", F.lit(1))).orderBy("entity_id"))
-            ranked = ranked.withColumn("_r", F.when(F.col("_known") == 0, 0).otherwise(new + F.coalesce("_n", F.lit(0)))).drop("_known", "_n")
-        return ranked.where((self.limit() <= 0) | (F.col("_r") <= self.limit())).drop("_r")
+        who = [*key, "entity_id"]
+        limit = self.limit()
+        free, bound = docs.where(limit <= 0), docs.where(limit > 0)
+        new = bound.select(*who).distinct()
+        if admitted is not None:
+            known = admitted.select(*who).distinct()
+            new = new.join(known, who, "left_anti").join(known.groupBy(*key).agg(F.count("*").alias("_n")), key, "left")
+        room = limit - F.coalesce("_n", F.lit(0)) if admitted is not None else limit
+        part = F.pmod(F.xxhash64("entity_id"), F.lit(PARTS))
+        chosen = new.withColumns({"_room": room, "_part": part})
+        for keys in ([*key, "_part"], key):
+            chosen = chosen.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy("entity_id"))).where("_r <= _room")
+        allowed = chosen.select(*who) if admitted is None else chosen.select(*who).union(known)
+        return free.unionByName(bound.join(allowed, who, "left_semi").select(*docs.columns))
