@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _BASE, _BASE_INVERSE, _power, materialize, mix64, schema_with, span_hashes, text_chunks
+from .common import _BASE, _BASE_INVERSE, _power, batch_rows, materialize, mix64, released, schema_with, span_hashes, text_chunks
 
 #: Documents whose words fill the memo (about), its most words, and the longest of them in bytes.
 MEMO_DOCS, MEMO_WORDS, MEMO_BYTES = 20_000, 200_000, 64
@@ -350,7 +350,7 @@ def _split(tables, memo, at: int, keep: list[int], names: list[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, m = tables.value, memo.value
-        for batch in batches:
+        for batch in released(batches):
             for i, j, data, offsets in text_chunks(batch.column(at), RUN_BYTES):
                 starts, text = split_words(data, offsets)
                 hashes = word_hashes(data, starts[:-1], starts[1:])
@@ -412,7 +412,7 @@ def _parts(batch: pa.RecordBatch, n: int) -> Iterator[pa.RecordBatch]:
 
 def _with_ids(memo, n: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             for part in _parts(batch, n):
                 ids, starts = _join_ids(memo.value, part.column(n), part.column(n + 1))
                 listed = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids.astype(np.int64)))
@@ -426,7 +426,7 @@ def _digests(tables, memo, n: int, names: list[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tables.value
-        for batch in batches:
+        for batch in released(batches):
             for part in _parts(batch, n):
                 ids, starts = _join_ids(memo.value, part.column(n), part.column(n + 1))
                 sizes = t.piece_starts[ids + 1] - t.piece_starts[ids]
@@ -456,6 +456,7 @@ class Codec:
 
     def __init__(self, spark: SparkSession, path: str):
         v = vocabulary(path)
+        batch_rows(spark)
         self.spark, self.vocabulary = spark, v
         self.tables = spark.sparkContext.broadcast(Tables.of(v))
         pairs, tokens = v.merges()

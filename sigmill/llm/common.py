@@ -41,6 +41,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_DEFAULT_ROWS, FEW_ROWS = 10_000, 1000
+
+
+def batch_rows(spark: SparkSession, rows: int = FEW_ROWS) -> None:
+    """Rows of the Arrow batches from now on, unless the session has a number of its own: documents are long, and several Python processes share an executor's memory."""
+    if spark.conf.get(_BATCH) in (str(_DEFAULT_ROWS), str(FEW_ROWS)):
+        spark.conf.set(_BATCH, str(rows))
+
+
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; what the Arrow pool holds of one that is done goes back to the system."""
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -12,7 +12,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, bounded_sample, mix64, window_hashes
+from .common import CHUNK_BYTES, batch_rows, bounded_sample, mix64, released, window_hashes
 
 _POINTS = 0x110000
 #: Stands between texts whose features are taken together; no character.
@@ -177,13 +177,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, use: Column,
         .where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & use)
         .groupBy("doc_id").agg(F.max("label").alias("label"))
     )
+    batch_rows(docs.sparkSession)
     chosen = bounded_sample(rated, rows, "doc_id")
     texts = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text")).join(F.broadcast(chosen), "doc_id")
 
     kind_of_id = "<u2" if buckets <= 1 << 16 else "<u4"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             ids, counts = [], []
             for text in batch.column(1).to_pylist():
                 k, n = text_features(prepare(text) if prepare else text, buckets, grams)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, held_out, materialize, schema_with
+from .common import _DEFAULT_ROWS, BROADCAST_ROWS, batch_rows, held_out, materialize, schema_with
 from .hashed_text import IS_LETTER, LOWER, code_points
 
 #: Labelled documents of a language to learn from (about), and the most symbols of its sample.
@@ -222,6 +222,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     table gives an empty result.
     """
     docs = docs.drop("lang_pred", "score")
+    batch_rows(docs.sparkSession, _DEFAULT_ROWS)  # long texts of a batch advance together
     at = docs.columns.index(text_col)
     schema = schema_with(docs, lang_pred="string", score="double")
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_ROWS, connected_components, materialize, mix64, shingle_sets, signed
+from .common import BROADCAST_ROWS, batch_rows, connected_components, materialize, mix64, released, shingle_sets, signed
 
 SIZE = 5
 #: Similarity as a fraction: linked if DEN * |x & y| >= NUM * |x | y|.
@@ -89,7 +89,7 @@ def in_order(shingles: np.ndarray, hot: np.ndarray, counts: np.ndarray) -> np.nd
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in released(batches):
         n, h1, h2, keys = [], [], [], []
         for s in shingle_sets(batch.column(1), SIZE):
             n.append(len(s))
@@ -112,7 +112,7 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = counts >= SEEN
         yield pa.RecordBatch.from_arrays([pa.array(signed(tokens[keep])), pa.array(counts[keep].astype(np.int64))], names=["token", "n"])
 
-    for batch in batches:
+    for batch in released(batches):
         for s in shingle_sets(batch.column(0), SIZE):
             key = set_key(s)
             if len(s) and key not in seen:
@@ -131,7 +131,7 @@ def _prefixes(hot: np.ndarray, counts: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
-        for batch in batches:
+        for batch in released(batches):
             tokens, classes, sizes = [], [], []
 
             def pack() -> pa.RecordBatch:
@@ -211,7 +211,7 @@ def _open(one_link: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, ids, sets, union, done = None, [], [], None, False
         out_a, out_b = [], []
-        for batch in batches:
+        for batch in released(batches):
             tasks, is_held, own = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
             for t, h, i, s in zip(tasks, is_held, own, shingle_sets(batch.column(3), SIZE), strict=True):
                 if t != task:
@@ -278,6 +278,7 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     if not isinstance(documents.schema[id_col].dataType, T.IntegralType):
         raise TypeError(f"{id_col} must be an integer: the smallest of a component names it")
+    batch_rows(docs.sparkSession)
     known = docs.where(F.col("id").isNotNull())
     sig = materialize(docs.mapInArrow(_signatures, "id long, n long, h1 long, h2 long, keys array<long>"), "signatures")
     classes = materialize(

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _BASE, _BASE_INVERSE, _power, lower_ascii, materialize, mix64, schema_with, span_hashes, text_chunks, unused, words_by_space
+from .common import _BASE, _BASE_INVERSE, _power, batch_rows, lower_ascii, materialize, mix64, released, schema_with, span_hashes, text_chunks, unused, words_by_space
 
 SENTENCES, WORDS, MAX_WORDS = 3, 20, 20
 #: Words of a passage that is removed wherever it begins, words of the runs that mark it, and how many of those it holds (a power of two).
@@ -124,7 +124,7 @@ def _blocks(least: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def _smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Smallest hash and hash of the whole block, one for each block; another row with 0 where the smallest hash recurs within one."""
-    for batch in batches:
+    for batch in released(batches):
         for _, _, data, offsets in text_chunks(batch.column(2)):
             s = Sentences(data, offsets)
             grams, least, text = s.passages()
@@ -172,7 +172,7 @@ def _passages(found: DataFrame, kind: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         many, mixed = tables.value
-        for batch in batches:
+        for batch in released(batches):
             for i, _, data, offsets in text_chunks(batch.column(2)):
                 s = Sentences(data, offsets)
                 _, least, text = s.passages()
@@ -201,7 +201,7 @@ def _passages(found: DataFrame, kind: str) -> DataFrame:
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in released(batches):
         for i, _, data, offsets in text_chunks(batch.column(2)):
             s = Sentences(data, offsets)
             text, first, end = s.spans()
@@ -256,6 +256,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Spans are counted with partial sums; those that occur more than once are found again by a join
     whose large keys the adaptive skew join splits, and only they travel to their texts.
     """
+    batch_rows(docs.sparkSession)
     docs = docs.drop(*counts)
     kind = docs.schema[id_col].dataType.simpleString()
     found = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.hash(text_col).alias("th"), F.col(text_col).alias("text"))
@@ -282,7 +283,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     at, n = docs.columns.index(text_col), len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             texts: list[str | None] = []
             sizes, gone = [], []
             for i, j, data, offsets in text_chunks(batch.column(at)):

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, schema_with
+from .common import batch_rows, held_out, released, schema_with
 from .hashed_text import Sample, adam, add_up, distinct_words, labelled_sample, subword_grams, text_sums
 
 BUCKETS, WIDTH = 1 << 16, 8
@@ -86,13 +86,14 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     pass, whatever their names; columns that have the two names are replaced, so callers that keep
     such columns pass other names. An empty table gives an empty result.
     """
+    batch_rows(docs.sparkSession)
     weights, offset = model.weights().astype(np.float32), model.offset()
     docs = docs.drop(*names)
     at = docs.columns.index(text_col)
     schema = schema_with(docs, **dict(zip(names, ("double", "int"), strict=True)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             s = score_texts(batch.column(at).to_pylist(), weights, offset)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=schema.names)
 
