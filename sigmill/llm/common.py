@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text that the array kernels handle at once; one longer text is handled alone.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 #: Rows up to which a table of (long) keys is broadcast: about 24 MB as a hashed relation.
 BROADCAST_ROWS = 500_000
 

@@ -28,6 +28,8 @@ TRAIN_DOCS, TRAIN_SYMBOLS = 300, 24_000
 TABLE = 24_000_000
 #: Texts of more symbols are advanced together with other long ones, so many symbols at once.
 LONG, POOL = 4096, 1 << 23
+#: Characters of short texts that advance together.
+RUN_CHARS = 1 << 20
 UNKNOWN = "und"
 _BROKEN = 1 << 30
 
@@ -155,7 +157,7 @@ def phrases(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.ndarr
             lengths = np.array([len(s) for _, s in long])
             out[[row for row, _ in long]] = _advance(np.concatenate([s for _, s in long]), ends - lengths, lengths, model)
 
-    for i, j, points, starts in code_points(texts):
+    for i, j, points, starts in code_points(texts, RUN_CHARS):
         letter = IS_LETTER[points]
         keep = letter.copy()
         keep[1:] |= letter[:-1]

@@ -31,7 +31,7 @@ SENTENCES, WORDS, MAX_WORDS = 3, 20, 20
 #: Words of a passage that is removed wherever it begins, words of the runs that mark it, and how many of those it holds (a power of two).
 PASSAGE, GRAM, GRAMS = 51, 20, 32
 #: Bits of the table of marks.
-MARKS = 1 << 27
+MARKS = 1 << 26
 
 _END = np.zeros(256, bool)
 _END[[ord(c) for c in ".!?"]] = True
