@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_ROWS, batch_rows, connected_components, materialize, mix64, released, shingle_sets, signed
+from .common import AT_ONCE, BROADCAST_ROWS, batch_rows, connected_components, materialize, mix64, released, shingle_sets, signed
 
 SIZE = 5
 #: Similarity as a fraction: linked if DEN * |x & y| >= NUM * |x | y|.
@@ -298,7 +298,7 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
     salted = near.join(held, "leader").select(F.concat_ws("/", "leader", F.pmod(F.xxhash64("rep"), "parts")).alias("task"), "leader", F.col("rep").alias("id"))
     tasks = salted.select("task", F.lit(False).alias("held"), "id").union(salted.select("task", F.lit(True), "leader").distinct())
     first_links = open_tasks(known, tasks, one_link=False)
-    groups = connected_components(first_links).withColumnRenamed("id", "rep").withColumnRenamed("component", "group_id")
+    groups = connected_components(first_links, at_once=AT_ONCE).withColumnRenamed("id", "rep").withColumnRenamed("component", "group_id")
     member = materialize(classes.select("h1", "rep", "n").join(groups, "rep", "left").select("h1", "rep", "n", F.coalesce("group_id", "rep").alias("group_id")), "members")
     # 2. token-group matrix
     frequent = known.select("text").mapInArrow(_frequent, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
@@ -348,7 +348,7 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
     asks = parted.join(member.select(F.col("group_id").alias("ask_group"), F.col("rep").alias("id")), "ask_group").where(F.pmod(F.xxhash64("id"), F.col("ask_parts")) == F.col("ask_part"))
     tasks = holds.select(name, F.lit(True).alias("held"), "id").union(asks.select(name, F.lit(False), "id"))
     links = first_links.unionByName(open_tasks(known, tasks, one_link=True))
-    components = connected_components(links).withColumnRenamed("id", "rep")
+    components = connected_components(links, at_once=AT_ONCE).withColumnRenamed("id", "rep")
     named = classes.select("h1", "h2", "n", "rep").join(components, "rep", "left").select("h1", "h2", "n", F.coalesce("component", "rep").alias("c"))
     # documents of equal sets join the class's component; a large class is split by the adaptive skew join
     out = sig.select("id", "n", "h1", "h2").join(named, ["h1", "h2", "n"], "left")

@@ -1,6 +1,7 @@
 """Methods against plain restatements, and operators and stages on odd tables."""
 
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -207,6 +208,45 @@ def test_components_of_hubs_and_chains(spark):
         common.connected_components(spark.createDataFrame([(k, k + 1) for k in range(200)], "a long, b long"), rounds=1)
 
 
+def test_components_at_once_are_those_of_the_rounds(spark):
+    rng = random.Random(4)
+    edges = [(5, k) for k in range(6, 300)] + [(k, k + 1) for k in range(2000, 2300)] + [(9000, 9000), (-3, 7), (2300, 1)] + [(rng.randrange(3000, 3200), rng.randrange(3000, 3200)) for _ in range(90)]
+    table = spark.createDataFrame(edges, "a long, b long")
+    got = common.connected_components(table, at_once=1000)
+    rounds = common.connected_components(table, at_once=10)
+    assert got.dtypes == rounds.dtypes == [("id", "bigint"), ("component", "bigint")]
+    assert sorted(got.collect()) == sorted(rounds.collect())
+    ids, least = common.least_reached(np.arange(1, 5000), np.arange(4999))
+    assert ids.tolist() == list(range(5000)) and not least.any()
+
+
+def test_few_links_take_few_jobs(spark):
+    """What the driver keeps of each job adds up over a pipeline."""
+    texts = [f"{'a b c d e f g h i j k l m n o p q r s t u v w x y z ' * 2}{k // 2} {k}" for k in range(40)]
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spark.sparkContext.setJobGroup("few-links", "")
+    try:
+        assert {r.component_id for r in near_dedup.jaccard_components(documents).collect()} == {0}
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("few-links")) < 100
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_toxicity_learns_in_little_memory():
+    """No array with a row of the vectors for each feature of a batch, nor a running sum over all features of the sample."""
+    rng = np.random.default_rng(5)
+    n, each = 256, 4000
+    labels = (np.arange(n) % 2).astype(float)
+    s = hashed_text.Sample(np.arange(n + 1) * each, rng.integers(0, 512, n * each).astype("<u2"), np.ones(n * each, np.uint8), np.full(n, 1 / each), labels)
+    tracemalloc.start()
+    try:
+        toxicity.train(s, buckets=512, steps=2)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 8 * 8 * 128 * each  # a row of eight doubles for each feature of a batch
+
+
 # -- 1
 
 
